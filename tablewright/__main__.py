@@ -1,6 +1,7 @@
-"""Command line: preprocess, validate, train, score and profile passenger tables.
+"""Command line: preprocess, promote a baseline, validate, train, score and profile passenger tables.
 
     python -m tablewright preprocess --train_input train.csv --test_input test.csv --output_path data --baseline_path base
+    python -m tablewright baseline --data_path data --baseline_path base --existing replace
     python -m tablewright validate --data_path data --baseline_path base --status_path status
     python -m tablewright train --data_path data --status_path status --model_out model --report_path reports
     python -m tablewright score --input new.csv --data_path data --model model --output scored
@@ -15,7 +16,7 @@ from tablewright import presets, session
 from tablewright.operators.clean import cast_numeric
 from tablewright.operators.impute import FillModel
 from tablewright.operators.profile import numeric_profile, write_profile
-from tablewright.plans.preprocess import preprocess, read_split
+from tablewright.plans.preprocess import create_baseline, preprocess, read_split
 from tablewright.plans.score import score_raw
 from tablewright.plans.train import train
 from tablewright.plans.validate import decide, validate
@@ -36,6 +37,8 @@ def main(arguments: list[str] | None = None) -> None:
             args.baseline_path,
             fit_scope=args.fit_scope,
         )
+    elif args.command == "baseline":
+        create_baseline(spark, presets.TABLE, args.data_path, args.baseline_path, existing=args.existing)
     elif args.command == "validate":
         validate(
             read_split(spark, args.data_path, "train"),
@@ -82,6 +85,7 @@ def _parser() -> argparse.ArgumentParser:
     commands = parser.add_subparsers(dest="command", required=True)
     for name, options in {
         "preprocess": ["train_input", "test_input", "output_path"],
+        "baseline": ["data_path", "baseline_path"],
         "validate": ["data_path", "baseline_path", "status_path"],
         "train": ["data_path", "status_path", "model_out", "report_path"],
         "score": ["input", "data_path", "model", "output"],
@@ -93,6 +97,8 @@ def _parser() -> argparse.ArgumentParser:
         if name == "preprocess":
             command.add_argument("--baseline_path", default=None)
             command.add_argument("--fit_scope", default="combined", choices=["combined", "train"])
+        if name == "baseline":
+            command.add_argument("--existing", default="error", choices=["error", "keep", "replace"])
     return parser
 
 

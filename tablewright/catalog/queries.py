@@ -535,9 +535,8 @@ def stream_drift(spark, folder):
     arriving, stored, reports, decisions, progress = (
         scratch.new_path(spark, n) for n in ("arriving", "stored", "reports", "decisions", "progress")
     )
-    handler = drift_stream.batch_handler(
-        baseline, ["v", "user_id"], ["event_type"], stored, reports, decisions, rows.schema, method="limit"
-    )
+    counts = drift.StoredBaseline.build(baseline, ["v", "user_id"], ["event_type"])
+    handler = drift_stream.batch_handler(counts, stored, reports, decisions, rows.schema, method="limit")
     for batch in batches:
         batch.write.mode("append").parquet(arriving)
         drift_stream.stream_drift(spark, arriving, rows.schema, handler, progress).awaitTermination()

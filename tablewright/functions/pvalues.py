@@ -23,7 +23,8 @@ def kolmogorov_sf(lam: Column) -> Column:
         F.lit(0.0),
         lambda acc, j: acc + F.when(j % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * j * j * lam * lam),
     )
-    return F.when(lam < _LAMBDA_FLOOR, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
+    clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), series))
+    return F.when(lam < _LAMBDA_FLOOR, F.lit(1.0)).when(lam >= _LAMBDA_FLOOR, clipped)
 
 
 def ks_limit_p(statistic: Column, n: Column, m: Column) -> Column:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType
 
+from tablewright import scratch
 from tablewright.functions.pvalues import chi2_sf, ks_exact_p, ks_limit_p
-from tablewright.operators.prefix import ROWS_PER_BUCKET, prefix_counts
+from tablewright.operators.prefix import ROWS_PER_BUCKET, long_values, running_counts
 
 # Fixed value: significance level of both tests.
 ALPHA = 0.05
@@ -36,26 +39,13 @@ def ks_drift(
     have at most 10,000 values. Null and NaN values are left out. A feature without values on one
     side has no statistic and does not count as drifted.
     """
-    if method not in ("auto", "limit"):
-        raise ValueError(f"unknown method {method!r}")
     features = shared_features(new, baseline, features)
-    counts = prefix_counts(
-        _tagged(new, baseline, features, "double"),
-        features,
-        {"new": F.col("_new"), "base": 1 - F.col("_new")},
-        rows_per_bucket,
-    )
-    gap = F.abs(F.col("new_upto") / F.col("new_total") - F.col("base_upto") / F.col("base_total"))
-    both = (F.col("new_total") > 0) & (F.col("base_total") > 0)
-    result = counts.groupBy("feature").agg(
-        F.max(F.when(both, gap)).alias("statistic"),
-        F.max("new_total").alias("n_new"),
-        F.max("base_total").alias("n_base"),
-    )
-    p = ks_limit_p(F.col("statistic"), F.col("n_new"), F.col("n_base"))
-    if method == "auto":
-        p = F.coalesce(ks_exact_p(F.col("statistic"), F.col("n_new"), F.col("n_base")), p)
-    return result.withColumn("p_value", p).withColumn("drifted", _drifted(alpha))
+    return _ks_of_values(_new_values(new, features), _base_values(baseline, features), alpha, method, rows_per_bucket)
+
+
+def chi2_drift(new: DataFrame, baseline: DataFrame, features: Sequence[str], alpha: float = ALPHA) -> DataFrame:
+    """Chi-squared test of homogeneity of every categorical feature, in one job over both tables."""
+    return chi2_from_counts(contingency(new, baseline, features), alpha)
 
 
 def contingency(new: DataFrame, baseline: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -64,18 +54,49 @@ def contingency(new: DataFrame, baseline: DataFrame, features: Sequence[str]) ->
     The sides are tagged and counted together, so no join is needed and null is a category.
     """
     features = shared_features(new, baseline, features)
-    tagged = _tagged(new, baseline, features, "string")
-    entries = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("category")) for f in features])
-    return (
-        tagged.select("_new", F.inline(entries))
-        .groupBy("feature", "category")
-        .agg(F.sum("_new").alias("n_new"), F.sum(1 - F.col("_new")).alias("n_base"))
-    )
-
-
-def chi2_drift(new: DataFrame, baseline: DataFrame, features: Sequence[str], alpha: float = ALPHA) -> DataFrame:
-    """Chi-squared test of homogeneity of every categorical feature, in one job over both tables."""
-    return chi2_from_counts(contingency(new, baseline, features), alpha)
+    return _side_sums(_new_categories(new, features).unionByName(_base_categories(baseline, features)))
+
+
+@dataclass(frozen=True)
+class StoredBaseline:
+    """A baseline reduced to counts per distinct value, so that testing a batch does not read it again."""
+
+    numbers: DataFrame  # (feature, value, new, base)
+    categories: DataFrame  # (feature, category, new, base)
+    numeric: Sequence[str]
+    categorical: Sequence[str]
+
+    @staticmethod
+    def build(baseline: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> StoredBaseline:
+        numeric = [f for f in numeric if f in baseline.columns]
+        categorical = [f for f in categorical if f in baseline.columns]
+        numbers = _base_values(baseline, numeric).groupBy("feature", "value")
+        categories = _base_categories(baseline, categorical).groupBy("feature", "category")
+        sums = [F.sum("new").alias("new"), F.sum("base").alias("base")]
+        return StoredBaseline(
+            scratch.write_table(numbers.agg(*sums), "baseline-numbers"),
+            scratch.write_table(categories.agg(*sums), "baseline-categories"),
+            numeric,
+            categorical,
+        )
+
+    def report(
+        self, new: DataFrame, alpha: float = ALPHA, method: str = "auto", rows_per_bucket: int = ROWS_PER_BUCKET
+    ) -> DataFrame:
+        """The drift report of a table against this baseline."""
+        numeric = [f for f in self.numeric if f in new.columns]
+        categorical = [f for f in self.categorical if f in new.columns]
+        base_numbers = self.numbers.where(F.col("feature").isin(numeric))
+        base_categories = self.categories.where(F.col("feature").isin(categorical))
+        parts = []
+        if numeric:
+            parts.append(
+                _ks_rows(_ks_of_values(_new_values(new, numeric), base_numbers, alpha, method, rows_per_bucket))
+            )
+        if categorical:
+            counts = _side_sums(_new_categories(new, categorical).unionByName(base_categories))
+            parts.append(_chi2_rows(chi2_from_counts(counts, alpha)))
+        return _one_report(parts)
 
 
 def chi2_from_counts(counts: DataFrame, alpha: float = ALPHA) -> DataFrame:
@@ -122,14 +143,10 @@ def drift_report(
     """One row per feature: kind of test, statistic, degrees of freedom, p-value, drifted or not."""
     parts = []
     if shared_features(new, baseline, numeric):
-        ks = ks_drift(new, baseline, numeric, alpha, method)
-        parts.append(ks.withColumns({"kind": F.lit("ks"), "dof": F.lit(None).cast("long")}).select(*REPORT_COLUMNS))
+        parts.append(_ks_rows(ks_drift(new, baseline, numeric, alpha, method)))
     if shared_features(new, baseline, categorical):
-        chi2 = chi2_drift(new, baseline, categorical, alpha)
-        parts.append(chi2.withColumn("kind", F.lit("chi2")).select(*REPORT_COLUMNS))
-    if not parts:
-        raise ValueError("the tables share none of the features")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts.append(_chi2_rows(chi2_drift(new, baseline, categorical, alpha)))
+    return _one_report(parts)
 
 
 def drift_verdict(report: DataFrame) -> DataFrame:
@@ -160,8 +177,71 @@ def _drifted(alpha: float) -> Column:
     return F.coalesce(F.col("p_value") < alpha, F.lit(False))
 
 
-def _tagged(new: DataFrame, baseline: DataFrame, features: Sequence[str], as_type: str) -> DataFrame:
-    def side(df: DataFrame, flag: int) -> DataFrame:
-        return df.select(*[F.col(f).cast(as_type).alias(f) for f in features], F.lit(flag).cast("long").alias("_new"))
+def _ks_of_values(
+    new_values: DataFrame, base_values: DataFrame, alpha: float, method: str, rows_per_bucket: int
+) -> DataFrame:
+    if method not in ("auto", "limit"):
+        raise ValueError(f"unknown method {method!r}")
+    counts = running_counts(new_values.unionByName(base_values), ["new", "base"], rows_per_bucket)
+    gap = F.abs(F.col("new_upto") / F.col("new_total") - F.col("base_upto") / F.col("base_total"))
+    both = (F.col("new_total") > 0) & (F.col("base_total") > 0)
+    result = counts.groupBy("feature").agg(
+        F.max(F.when(both, gap)).alias("statistic"),
+        F.max("new_total").alias("n_new"),
+        F.max("base_total").alias("n_base"),
+    )
+    p = ks_limit_p(F.col("statistic"), F.col("n_new"), F.col("n_base"))
+    if method == "auto":
+        p = F.coalesce(ks_exact_p(F.col("statistic"), F.col("n_new"), F.col("n_base")), p)
+    return result.withColumn("p_value", p).withColumn("drifted", _drifted(alpha))
+
+
+def _new_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return long_values(df, features, {"new": F.lit(1), "base": F.lit(0)})
+
+
+def _base_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return long_values(df, features, {"new": F.lit(0), "base": F.lit(1)})
+
+
+def _new_categories(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return _long_categories(df, features, 1, 0)
+
 
-    return side(new, 1).unionByName(side(baseline, 0))
+def _base_categories(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return _long_categories(df, features, 0, 1)
+
+
+def _long_categories(df: DataFrame, features: Sequence[str], new: int, base: int) -> DataFrame:
+    entries = [F.struct(F.lit(f).alias("feature"), _category_text(df, f).alias("category")) for f in features]
+    return df.select(
+        F.inline(F.array(*entries)), F.lit(new).cast("long").alias("new"), F.lit(base).cast("long").alias("base")
+    )
+
+
+def _category_text(df: DataFrame, feature: str) -> Column:
+    """Category as text; a whole number reads the same whether it is stored as integer or double."""
+    c = F.col(feature)
+    if isinstance(df.schema[feature].dataType, FractionalType):
+        c = c.cast("double")
+        whole = (c == F.floor(c)) & (F.abs(c) < 2.0**53)
+        return F.when(whole, c.cast("long").cast("string")).otherwise(c.cast("string"))
+    return c.cast("string")
+
+
+def _side_sums(long: DataFrame) -> DataFrame:
+    return long.groupBy("feature", "category").agg(F.sum("new").alias("n_new"), F.sum("base").alias("n_base"))
+
+
+def _ks_rows(ks: DataFrame) -> DataFrame:
+    return ks.withColumns({"kind": F.lit("ks"), "dof": F.lit(None).cast("long")}).select(*REPORT_COLUMNS)
+
+
+def _chi2_rows(chi2: DataFrame) -> DataFrame:
+    return chi2.withColumn("kind", F.lit("chi2")).select(*REPORT_COLUMNS)
+
+
+def _one_report(parts: Sequence[DataFrame]) -> DataFrame:
+    if not parts:
+        raise ValueError("the tables share none of the features")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

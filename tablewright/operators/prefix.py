@@ -28,90 +28,99 @@ def prefix_counts(
     weights: Mapping[str, Column],
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Per feature and distinct value: the weights at the value, up to it, and in total.
+    """Per value column and distinct value: the weights at the value, up to it, and in total.
 
     Returns ``feature, value`` and for each weight ``w`` the columns ``w``, ``w_upto`` (values up
     to and including this one) and ``w_total``. Null and NaN values are left out.
     """
-    names = list(weights)
-    wide = df.select(
-        *[without_negative_zero(F.col(c).cast("double")).alias(c) for c in values],
-        *[w.cast("long").alias(f"w_{n}") for n, w in weights.items()],
-    )
-    cuts = _cut_points(wide, values, rows_per_bucket)
-    cut_columns = [c for c in values if cuts.get(c)]
-    if cut_columns:
-        wide = Bucketizer(
-            inputCols=cut_columns,
-            outputCols=[f"b_{c}" for c in cut_columns],
-            splitsArray=[[-math.inf, *cuts[c], math.inf] for c in cut_columns],
-            handleInvalid="keep",
-        ).transform(wide)
+    return running_counts(long_values(df, values, weights), list(weights), rows_per_bucket)
+
+
+def long_values(df: DataFrame, values: Sequence[str], weights: Mapping[str, Column]) -> DataFrame:
+    """One row ``feature, value, <weights>`` for each present value of each value column."""
     entries = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            (F.col(f"b_{c}").cast("int") if c in cut_columns else F.lit(0)).alias("bucket"),
-            F.col(c).alias("value"),
-        )
+        F.struct(F.lit(c).alias("feature"), without_negative_zero(F.col(c).cast("double")).alias("value"))
         for c in values
     ]
-    weight_columns = [f"w_{n}" for n in names]
-    long = wide.select(*weight_columns, F.inline(F.array(*entries))) if len(entries) > 1 else wide.select(
-        *weight_columns, entries[0].alias("e")
-    ).select(*weight_columns, "e.*")
+    weighed = [w.cast("long").alias(n) for n, w in weights.items()]
+    if len(entries) == 1:
+        long = df.select(entries[0].alias("e"), *weighed).select("e.*", *weights)
+    else:
+        long = df.select(F.inline(F.array(*entries)), *weighed)
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def running_counts(long: DataFrame, weights: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``prefix_counts`` of rows that are already in the form of ``long_values``; they may be pre-counted."""
+    cuts = _cut_points(long, rows_per_bucket)
     counted = (
-        long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("feature", "bucket", "value")
-        .agg(*[F.sum(f"w_{n}").alias(n) for n in names])
+        _with_bucket(long, cuts).groupBy("feature", "bucket", "value").agg(*[F.sum(w).alias(w) for w in weights])
     )
     inside = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    running = counted.withColumns({f"{n}_upto": F.sum(n).over(inside) for n in names})
-    if not cut_columns:
+    running = counted.withColumns({f"{w}_upto": F.sum(w).over(inside) for w in weights})
+    if not cuts:
         whole = Window.partitionBy("feature", "bucket")
-        return running.withColumns({f"{n}_total": F.sum(n).over(whole) for n in names}).drop("bucket")
+        return running.withColumns({f"{w}_total": F.sum(w).over(whole) for w in weights}).drop("bucket")
     # One row per feature and bucket, so its size is bounded by MAX_BUCKETS per feature.
     below = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     of_feature = Window.partitionBy("feature")
     offsets = (
         counted.groupBy("feature", "bucket")
-        .agg(*[F.sum(n).alias(n) for n in names])
+        .agg(*[F.sum(w).alias(w) for w in weights])
         .select(
             "feature",
             "bucket",
-            *[F.coalesce(F.sum(n).over(below), F.lit(0)).alias(f"{n}_below") for n in names],
-            *[F.sum(n).over(of_feature).alias(f"{n}_total") for n in names],
+            *[F.coalesce(F.sum(w).over(below), F.lit(0)).alias(f"{w}_below") for w in weights],
+            *[F.sum(w).over(of_feature).alias(f"{w}_total") for w in weights],
         )
     )
     return running.join(F.broadcast(offsets), ["feature", "bucket"]).select(
         "feature",
         "value",
-        *names,
-        *[(F.col(f"{n}_upto") + F.col(f"{n}_below")).alias(f"{n}_upto") for n in names],
-        *[f"{n}_total" for n in names],
+        *weights,
+        *[(F.col(f"{w}_upto") + F.col(f"{w}_below")).alias(f"{w}_upto") for w in weights],
+        *[f"{w}_total" for w in weights],
     )
 
 
-def _cut_points(df: DataFrame, values: Sequence[str], rows_per_bucket: int) -> dict[str, list[float]]:
-    """Strictly increasing inner cut points per column; empty where one bucket is enough.
+def _cut_points(long: DataFrame, rows_per_bucket: int) -> dict[str, list[float]]:
+    """Strictly increasing inner cut points per feature that needs more than one bucket.
 
     The cut points are literals of the following plan, so a value's bucket never changes when a
     task is retried, and equal values always share one.
     """
-    present = df.agg(*[F.count(F.when(~F.isnan(c), F.col(c))).alias(c) for c in values]).first().asDict()
-    buckets = {c: min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)) for c, n in present.items()}
-    large = [c for c in values if buckets[c] > 1]
+    # One row per feature.
+    present = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    buckets = {f: min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)) for f, n in present.items()}
+    large = [f for f in present if buckets[f] > 1]
     if not large:
         return {}
-    fraction = min(1.0, max(buckets[c] * DRAWS_PER_BUCKET / present[c] for c in large))
-    drawn = df.select(*large) if fraction == 1.0 else df.select(*large).sample(fraction=fraction, seed=7)
-    row = drawn.agg(
-        *[
-            F.percentile_approx(
-                F.when(~F.isnan(c), F.col(c)),
-                [i / buckets[c] for i in range(1, buckets[c])],
-                max(10_000, 10 * buckets[c]),
-            ).alias(c)
-            for c in large
-        ]
-    ).first()
-    return {c: sorted({v for v in (row[c] or []) if math.isfinite(v)}) for c in large}
+    most = max(buckets.values())
+    fraction = min(1.0, most * DRAWS_PER_BUCKET / min(present[f] for f in large))
+    drawn = long.where(F.col("feature").isin(large)).select("feature", "value")
+    if fraction < 1.0:
+        drawn = drawn.sample(fraction=fraction, seed=7)
+    quantiles = drawn.groupBy("feature").agg(
+        F.percentile_approx("value", [i / most for i in range(1, most)], max(10_000, 10 * most)).alias("cuts")
+    )
+    cuts = {r["feature"]: sorted({v for v in r["cuts"] if math.isfinite(v)}) for r in quantiles.collect()}
+    return {f: c for f, c in cuts.items() if c}
+
+
+def _with_bucket(long: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Add the number of the bucket; features without cut points have one bucket."""
+    if not cuts:
+        return long.withColumn("bucket", F.lit(0))
+    features = list(cuts)
+    own_value = {f"_v{i}": F.when(F.col("feature") == f, F.col("value")) for i, f in enumerate(features)}
+    placed = Bucketizer(
+        inputCols=list(own_value),
+        outputCols=[f"_b{i}" for i in range(len(features))],
+        splitsArray=[[-math.inf, *cuts[f], math.inf] for f in features],
+        handleInvalid="keep",
+    ).transform(long.withColumns(own_value))
+    bucket = F.lit(0)
+    for i, f in enumerate(features):
+        bucket = F.when(F.col("feature") == f, F.col(f"_b{i}").cast("int")).otherwise(bucket)
+    # Never null, so that no filter is inferred on one side of the later join and its shuffle is reused.
+    return placed.select(*long.columns, F.coalesce(bucket, F.lit(0)).alias("bucket"))

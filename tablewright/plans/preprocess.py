@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators.clean import cast_numeric, union_by_name
@@ -76,18 +76,30 @@ def preprocess(
     """Write the feature table, partitioned by ``split`` (train or test), its fills, and a baseline.
 
     One write makes both splits, where a write per split would compute everything again. The
-    baseline, when asked for, is sampled from the written training rows by key.
+    baseline, when asked for, is sampled from the written training rows by key, but only if there
+    is none yet: later data are tested against the first baseline until a new one is promoted.
     """
     features, fills = feature_table(training, scoring, spec, fit_scope)
     split = F.when(F.col(spec.label).isNotNull(), "train").otherwise("test")
     write_parquet(features.withColumn("split", split), f"{output_path}/features", ["split"])
     fills.save(f"{output_path}/fills")
     if baseline_path:
-        stored = read_split(features.sparkSession, output_path, "train")
-        write_baseline(hash_sample(stored, spec.key, baseline_fraction), baseline_path)
+        create_baseline(features.sparkSession, spec, output_path, baseline_path, baseline_fraction, "keep")
     return fills
 
 
-def read_split(spark, output_path: str, split: str) -> DataFrame:
+def create_baseline(
+    spark: SparkSession,
+    spec: TableSpec,
+    output_path: str,
+    baseline_path: str,
+    fraction: float = 0.2,
+    existing: str = "error",
+) -> None:
+    """Sample the written training rows as the baseline."""
+    write_baseline(hash_sample(read_split(spark, output_path, "train"), spec.key, fraction), baseline_path, existing)
+
+
+def read_split(spark: SparkSession, output_path: str, split: str) -> DataFrame:
     """The training (``train``) or scoring (``test``) rows of a written feature table."""
     return spark.read.parquet(f"{output_path}/features").where(F.col("split") == split).drop("split")

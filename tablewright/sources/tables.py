@@ -30,10 +30,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def write_baseline(df: DataFrame, path: str) -> None:
-    """Store a drift baseline. It is written once: an existing baseline is an error, not overwritten,
-    because a baseline that follows the data can never show drift."""
-    df.write.mode("errorifexists").parquet(path)
+def write_baseline(df: DataFrame, path: str, existing: str = "error") -> None:
+    """Store a drift baseline. A baseline that follows the data can never show drift, so by default
+    an existing one is an error; ``keep`` leaves it alone, ``replace`` promotes the new one."""
+    modes = {"error": "errorifexists", "keep": "ignore", "replace": "overwrite"}
+    df.write.mode(modes[existing]).parquet(path)
 
 
 def from_rows(spark: SparkSession, rows: Sequence[Mapping], schema: StructType | str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tablewright.operators.clean import align_to
-from tablewright.operators.drift import ALPHA, drift_report, drift_verdict, retrain_gate
+from tablewright.operators.drift import ALPHA, StoredBaseline, drift_verdict, retrain_gate
 
 
 def batch_handler(
-    baseline: DataFrame,
-    numeric: Sequence[str],
-    categorical: Sequence[str],
+    baseline: StoredBaseline,
     table_path: str,
     report_path: str,
     decision_path: str,
@@ -27,6 +25,8 @@ def batch_handler(
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch``: append the batch by name, report its drift, store the decision.
 
+    The baseline comes as stored counts, so a batch costs its own size plus the baseline's distinct values.
+
     Each batch owns the partition ``batch_id=<n>`` of every output and overwrites it, so a batch
     that is replayed after a failure leaves one copy.
     """
@@ -40,7 +40,7 @@ def batch_handler(
         # The stored batch is read back, so the source is not read once per test.
         stored = spark.read.schema(table_schema).parquet(stored_path)
         reported = f"{report_path}/batch_id={batch_id}"
-        report = drift_report(stored, baseline, numeric, categorical, alpha, method)
+        report = baseline.report(stored, alpha, method)
         report.coalesce(1).write.mode("overwrite").parquet(reported)
         verdict = drift_verdict(spark.read.schema(report.schema).parquet(reported))
         retrain_gate(verdict, model_exists()).write.mode("overwrite").parquet(f"{decision_path}/batch_id={batch_id}")
