@@ -108,6 +108,20 @@ ORDER_FEATURES = FeatureSpec(
 ORDER_TRAINING = TrainingSpec(features=ORDER_FEATURES, label="label", key="o_orderkey")
 
 
+def rule_training(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose label is a rule on one category, so that a right fit finds it exactly."""
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.expr("CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS DOUBLE)").alias("label"),
+        gap("o_orderkey % 17 = 0", "o_totalprice").alias("price"),
+        "o_orderpriority",
+    )
+
+
+RULE_FEATURES = FeatureSpec(numeric=("price",), categorical=("o_orderpriority",))
+RULE_TRAINING = TrainingSpec(features=RULE_FEATURES, label="label", key="o_orderkey")
+
+
 def scored_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents with a rule's prediction and a score."""
     documents = table(spark, folder, "documents").select("doc_id", "n_chars")

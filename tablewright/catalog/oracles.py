@@ -17,7 +17,7 @@ events_v AS (
 
 RAW_EVENTS = f"""{EVENTS},
 raw AS (
-  SELECT event_id,
+  SELECT event_id, ts,
          CASE WHEN ts < {CUT} AND event_id % 10 < 7 THEN CAST(user_id % 2 AS DOUBLE) END AS label,
          CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 11 = 0 THEN event_type
               ELSE concat('Name, ', event_type, '. Given') END AS name,
@@ -35,7 +35,7 @@ titled AS (
 )"""
 
 
-def _feature_table(scope: str) -> str:
+def _feature_table(scope: str, label: str = "t.label, ", rows: str = "") -> str:
     return f"""
 WITH {RAW_EVENTS},
 fitted AS (SELECT * FROM titled {scope}),
@@ -44,13 +44,13 @@ one AS (
   SELECT (SELECT avg(fare) FROM fitted) AS mean_fare,
          (SELECT port FROM fitted WHERE port IS NOT NULL GROUP BY port ORDER BY count(*) DESC, port LIMIT 1) AS mode_port
 )
-SELECT t.event_id, t.label, t.title, t.siblings, t.parents,
+SELECT t.event_id, {label}t.title, t.siblings, t.parents,
        round(coalesce(t.fare, one.mean_fare), 6) AS fare,
        coalesce(t.port, one.mode_port) AS port,
        t.siblings + t.parents + 1 AS family_size,
        CASE WHEN t.siblings + t.parents + 1 = 1 THEN 1 ELSE 0 END AS is_alone,
        round(coalesce(t.amount, means.mean_amount), 6) AS amount_filled
-FROM titled t LEFT JOIN means ON t.title = means.title CROSS JOIN one
+FROM titled t LEFT JOIN means ON t.title = means.title CROSS JOIN one {rows}
 """
 
 
@@ -248,6 +248,23 @@ model_orders AS (
   FROM orders
 )"""
 
+RULE_SCORED = """
+SELECT o_orderkey, CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS INTEGER) AS prediction,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'urgent' ELSE 'other' END AS prediction_label
+FROM orders WHERE o_orderkey % 17 <> 0
+"""
+
+# A fit that finds the rule has no wrong prediction on the held-out rows.
+RULE_MATRIX = f"""
+WITH held_out AS (
+  SELECT CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS DOUBLE) AS label
+  FROM orders WHERE o_orderkey % 17 <> 0 AND {HASH} >= 0.8 * 4294967296
+),
+grid AS (SELECT CAST(a AS DOUBLE) AS label, CAST(b AS DOUBLE) AS prediction FROM range(2) x(a), range(2) y(b))
+SELECT g.label, g.prediction, count(h.label) AS n
+FROM grid g LEFT JOIN held_out h ON g.label = h.label AND g.prediction = h.label GROUP BY g.label, g.prediction
+"""
+
 STREAMED = f"""
 streamed AS (
   SELECT CASE WHEN ts < {CUT} THEN -1 WHEN ts < {LATE_CUT} THEN 0 ELSE 1 END AS batch,
@@ -460,6 +477,13 @@ UNION ALL SELECT TRUE, 'metric', 'auc_roc', NULL, round(auc_roc, 6) FROM area
 UNION ALL SELECT TRUE, 'metric', 'auc_pr', NULL, round(auc_pr, 6) FROM area
 UNION ALL SELECT FALSE, 'metric', name, NULL, value FROM ({HEADLINE_LONG})
 """,
+    "fit_dt_rule": RULE_MATRIX,
+    "fit_rf_rule": RULE_MATRIX,
+    "fit_lr_rule": RULE_MATRIX,
+    "fit_gbt_rule": RULE_MATRIX,
+    "score_batch_rule": RULE_SCORED,
+    "stream_score_rule": RULE_SCORED,
+    "stream_features": _feature_table("", "", f"WHERE t.ts >= {CUT}"),
     "stream_drift": f"""
 WITH {EVENTS}, {STREAMED}, {_ks("number_long")}, {_chi2("type_long")},
 report AS (

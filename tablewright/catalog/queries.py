@@ -14,6 +14,7 @@ from tablewright.operators import clean, curves, drift, encode, impute, metrics,
 from tablewright.operators.features import with_group_size, with_title
 from tablewright.operators.prefix import prefix_counts as running_counts
 from tablewright.operators.score import incomplete_rows, score
+from tablewright.plans.preprocess import derive
 from tablewright.plans.preprocess import feature_table as build_features
 from tablewright.sources import documents, models, runlog, tables
 from tablewright.streaming import drift as drift_stream
@@ -436,6 +437,51 @@ def fit_gbt(spark, folder):
     return _fit_and_count(spark, folder, "GBTClassifier", maxDepth=3, maxIter=10)
 
 
+def _rule_parts(spark, folder):
+    return sampling.hash_split(src.rule_training(spark, folder), "o_orderkey", [0.8, 0.2], method="multiplicative")
+
+
+def _fit_rule(spark, folder, family, **params):
+    """Confusion matrix on held-out orders of a classifier that has to find a rule."""
+    training, held_out = _rule_parts(spark, folder)
+    model = tuning.fit_family(training, src.RULE_TRAINING, family, **params)
+    return metrics.confusion_matrix(metrics.pair_counts(model.transform(held_out)))
+
+
+@query
+def fit_dt_rule(spark, folder):
+    return _fit_rule(spark, folder, "DecisionTree", maxDepth=5)
+
+
+@query
+def fit_rf_rule(spark, folder):
+    return _fit_rule(spark, folder, "RandomForest", numTrees=50, maxDepth=10)
+
+
+@query
+def fit_lr_rule(spark, folder):
+    return _fit_rule(spark, folder, "LogisticRegression", regParam=0.01)
+
+
+@query
+def fit_gbt_rule(spark, folder):
+    return _fit_rule(spark, folder, "GBTClassifier", maxDepth=3, maxIter=10)
+
+
+def _rule_model(spark, folder):
+    training, _ = _rule_parts(spark, folder)
+    path = scratch.new_path(spark, "model")
+    models.save_model(tuning.fit_family(training, src.RULE_TRAINING, "LogisticRegression", regParam=0.01), path)
+    return models.load_model(path)
+
+
+@query
+def score_batch_rule(spark, folder):
+    """Predictions of the stored model for every order, by key."""
+    scored = score(_rule_model(spark, folder), src.rule_training(spark, folder), "urgent", "other")
+    return scored.select("o_orderkey", "prediction", "prediction_label")
+
+
 _TUNED: dict[tuple[str, str], str] = {}
 
 
@@ -523,6 +569,39 @@ def stream_score(spark, folder):
     return tables.read_parquet(spark, scored).drop("label")
 
 
+@query
+def stream_score_rule(spark, folder):
+    """The same predictions, from orders that arrive as files."""
+    orders = src.rule_training(spark, folder)
+    arriving, scored, progress = (scratch.new_path(spark, n) for n in ("arriving", "scored", "progress"))
+    tables.write_parquet(orders, arriving)
+    model = _rule_model(spark, folder)
+    run = scoring_stream.stream_score(
+        spark, arriving, orders.schema, lambda df: score(model, df, "urgent", "other"), scored, progress
+    )
+    run.awaitTermination()
+    return tables.read_parquet(spark, scored).select("o_orderkey", "prediction", "prediction_label")
+
+
+@query
+def stream_features(spark, folder):
+    """Unlabelled raw rows arrive as files and get the features and fills of the batch table."""
+    training, scoring = src.raw_events(spark, folder)
+    _, fills = build_features(training, scoring, src.EVENT_TABLE)
+    arriving, prepared, progress = (scratch.new_path(spark, n) for n in ("arriving", "prepared", "progress"))
+    tables.write_parquet(scoring, arriving)
+    run = scoring_stream.stream_score(
+        spark,
+        arriving,
+        scoring.schema,
+        lambda df: fills.apply(derive(df, src.EVENT_TABLE)).drop(*src.EVENT_TABLE.dropped),
+        prepared,
+        progress,
+    )
+    run.awaitTermination()
+    return _rounded_features(tables.read_parquet(spark, prepared))
+
+
 @query
 def stream_drift(spark, folder):
     """Events arrive in two batches, by date, each tested against the earliest ones."""
