@@ -68,7 +68,21 @@ def param_maps(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]
 def fit_family(df: DataFrame, spec: TrainingSpec, family: str, **params) -> PipelineModel:
     """Fit the feature stages and one classifier as one saved-together model."""
     stages = [*feature_stages(spec.features), classifier(family, spec.label, spec.features.output, **params)]
-    return Pipeline(stages=stages).fit(df)
+    return Pipeline(stages=stages).fit(spread(df, spec.key))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a part of a table that has fewer partitions than there are cores.
+
+    Fitting passes over the rows many times, so one shuffle of a small table pays off; a table with
+    enough partitions is left alone. The rows are ordered by key inside a partition, because a
+    forest draws its samples by row position. The input should be a stored table: counting the
+    partitions of a plan with shuffles would run them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key).sortWithinPartitions(key)
 
 
 def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
@@ -78,7 +92,7 @@ def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
     grid points; a cross validator around the whole pipeline would fit them again for each point.
     The feature vectors of a fold are persisted while its models are fitted, several at a time.
     """
-    folded = with_fold(df, spec.key, spec.folds)
+    folded = with_fold(spread(df, spec.key), spec.key, spec.folds)
     evaluator = MulticlassClassificationEvaluator(labelCol=spec.label, predictionCol="prediction", metricName="f1")
     rows: list[tuple] = []
     for fold in range(spec.folds):
