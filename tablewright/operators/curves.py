@@ -82,5 +82,4 @@ def _ratio(part: str, whole: str):
 
 
 def _end_point(df: DataFrame, **values: float | None) -> DataFrame:
-    schema = ", ".join(f"{name} double" for name in values)
-    return df.sparkSession.createDataFrame([tuple(values.values())], schema)
+    return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(n) for n, v in values.items()])

@@ -21,15 +21,17 @@ def pair_counts(df: DataFrame, label: str = "label", prediction: str = "predicti
 def confusion_matrix(pairs: DataFrame) -> DataFrame:
     """Every combination of the occurring labels, with zero where no row has it.
 
-    ``pairs`` has one row per combination, so the set of labels is small.
+    ``pairs`` has one row per combination of classes, so it fits into one row as a map.
     """
-    labels = pairs.agg(F.array_sort(F.collect_set("label")).alias("labels"))
-    grid = labels.select("labels", F.explode("labels").alias("label")).select(
-        "label", F.explode("labels").alias("prediction")
+    packed = pairs.agg(
+        F.array_sort(F.collect_set("label")).alias("labels"),
+        F.map_from_entries(F.collect_list(F.struct(F.struct("label", "prediction"), "n"))).alias("cells"),
     )
-    return grid.join(pairs, ["label", "prediction"], "left").select(
-        "label", "prediction", F.coalesce("n", F.lit(0)).alias("n")
+    grid = packed.select("labels", "cells", F.explode("labels").alias("label")).select(
+        "cells", "label", F.explode("labels").alias("prediction")
     )
+    found = F.try_element_at("cells", F.struct("label", "prediction"))
+    return grid.select("label", "prediction", F.coalesce(found, F.lit(0)).alias("n"))
 
 
 def label_counts(pairs: DataFrame) -> DataFrame:
