@@ -27,10 +27,12 @@ def kolmogorov_sf(lam: Column) -> Column:
     return F.when(lam < _LAMBDA_FLOOR, F.lit(1.0)).when(lam >= _LAMBDA_FLOOR, clipped)
 
 
-def ks_limit_p(statistic: Column, n: Column, m: Column) -> Column:
-    """Large-sample p-value of the two-sample statistic."""
+def ks_limit_p(statistic: Column, n: Column, m: Column, corrected: bool = False) -> Column:
+    """Large-sample p-value of the two-sample statistic, if wanted with Stephens' finite-size correction."""
     n, m = n.cast("double"), m.cast("double")
-    return kolmogorov_sf(statistic * F.sqrt(n * m / (n + m)))
+    root = F.sqrt(n * m / (n + m))
+    factor = root + 0.12 + 0.11 / F.nullif(root, F.lit(0.0)) if corrected else root
+    return kolmogorov_sf(statistic * factor)
 
 
 def ks_exact_p(statistic: Column, n: Column, m: Column) -> Column:

@@ -36,7 +36,7 @@ def ks_drift(
     """Two-sample Kolmogorov–Smirnov test of every numeric feature, in one job over both tables.
 
     ``method``: ``limit`` uses the large-sample law, ``auto`` the exact law where both samples
-    have at most 10,000 values. Null and NaN values are left out. A feature without values on one
+    have at most 10,000 values and the finite-size corrected law beyond. Null and NaN values are left out. A feature without values on one
     side has no statistic and does not count as drifted.
     """
     features = shared_features(new, baseline, features)
@@ -190,9 +190,10 @@ def _ks_of_values(
         F.max("new_total").alias("n_new"),
         F.max("base_total").alias("n_base"),
     )
-    p = ks_limit_p(F.col("statistic"), F.col("n_new"), F.col("n_base"))
+    measured = F.col("statistic"), F.col("n_new"), F.col("n_base")
+    p = ks_limit_p(*measured)
     if method == "auto":
-        p = F.coalesce(ks_exact_p(F.col("statistic"), F.col("n_new"), F.col("n_base")), p)
+        p = F.coalesce(ks_exact_p(*measured), ks_limit_p(*measured, corrected=True))
     return result.withColumn("p_value", p).withColumn("drifted", _drifted(alpha))
 
 

@@ -103,6 +103,18 @@ def test_exact_p_value_nears_the_limit_law(spark):
     assert ks_exit_probability(d, n, m) == pytest.approx(0.05, abs=0.003)
 
 
+def test_large_samples_use_the_corrected_law(spark):
+    new = spark.range(12_000).select((F.col("id") / 12_000 + 0.012).alias("x"))
+    base = spark.range(20_000).select((F.col("id") / 20_000).alias("x"))
+    auto, limit = (ks_drift(new, base, ["x"], method=m).first() for m in ("auto", "limit"))
+    en = 12_000 * 20_000 / 32_000
+    lam = auto["statistic"] * math.sqrt(en)
+    # The one-sample law at size en is the limit law at lam + 1/(6 sqrt(en)), to this order.
+    shifted = spark.range(1).select(kolmogorov_sf(F.lit(lam + 1 / (6 * math.sqrt(en))))).first()[0]
+    assert auto["p_value"] == pytest.approx(shifted, rel=2e-3)
+    assert limit["p_value"] > auto["p_value"]
+
+
 def test_chi2_tail_against_closed_forms():
     for x in (0.01, 0.5, 2.0506149, 9.5, 60.0):
         assert gamma_upper_ratio(0.5, x / 2) == pytest.approx(math.erfc(math.sqrt(x / 2)), rel=1e-10)
