@@ -317,6 +317,17 @@ WITH {EVENTS} SELECT g, count(*) AS n FROM events_v WHERE g IS NOT NULL GROUP BY
     "impute_group_mean": f"""
 WITH {EVENTS}, m AS (SELECT g, avg(v) AS mean_v FROM events_v GROUP BY g)
 SELECT event_id, e.g, round(coalesce(v, mean_v), 6) AS filled FROM events_v e LEFT JOIN m ON e.g = m.g
+""",
+    "impute_group_mean_shuffled": """
+WITH l AS (
+  SELECT l_orderkey, l_extendedprice,
+         CASE WHEN l_orderkey % 3 = 0 THEN -1 WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_partkey END AS part,
+         CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS quantity
+  FROM lineitem
+),
+m AS (SELECT part, avg(quantity) AS mean_quantity FROM l GROUP BY part)
+SELECT l_orderkey, l_extendedprice, l.part, round(coalesce(quantity, mean_quantity), 6) AS quantity
+FROM l LEFT JOIN m ON l.part = m.part
 """,
     "impute_mode": f"""
 WITH {EVENTS}

@@ -141,6 +141,19 @@ def impute_group_mean(spark, folder):
     return impute.fill_group_mean(rows, "g", "v", "filled").select("event_id", "g", rounded("filled").alias("filled"))
 
 
+@query
+def impute_group_mean_shuffled(spark, folder):
+    """The form for statistics too large to broadcast: parts by key number, over whole line items."""
+    lines = src.table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_extendedprice",
+        F.expr("CASE WHEN l_orderkey % 3 = 0 THEN -1 WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_partkey END").alias("part"),
+        src.gap("l_orderkey % 7 = 0", "l_quantity").alias("quantity"),
+    )
+    filled = impute.fill_group_mean(lines, "part", "quantity", broadcast_bytes=0)
+    return filled.select("l_orderkey", "l_extendedprice", "part", rounded("quantity").alias("quantity"))
+
+
 @query
 def impute_mode(spark, folder):
     return impute.fill_mode(src.events(spark, folder).select("event_id", "g"), "g")

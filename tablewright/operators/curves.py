@@ -30,37 +30,48 @@ def score_counts(df: DataFrame, score: str, label: str, rows_per_bucket: int = R
 
 def roc_curve(df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``threshold, fpr, tpr`` for every distinct score, and the start point (infinity, 0, 0)."""
-    points = score_counts(df, score, label, rows_per_bucket).select(
-        "threshold", _ratio("fp", "negatives").alias("fpr"), _ratio("tp", "positives").alias("tpr")
-    )
-    return points.unionByName(_end_point(df, threshold=float("inf"), fpr=0.0, tpr=0.0))
+    return roc_points(score_counts(df, score, label, rows_per_bucket))
 
 
 def pr_curve(df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``threshold, recall, precision`` for every distinct score, and the end point (null, 0, 1)."""
-    points = score_counts(df, score, label, rows_per_bucket).select(
-        "threshold",
-        _ratio("tp", "positives").alias("recall"),
-        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-    )
-    return points.unionByName(_end_point(df, threshold=None, recall=0.0, precision=1.0))
+    return pr_points(score_counts(df, score, label, rows_per_bucket))
 
 
 def auc_roc(df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Area under the ROC curve by trapezoids, which is the tie-corrected rank statistic."""
-    return score_counts(df, score, label, rows_per_bucket).agg(_roc_area().alias("auc_roc"))
+    return areas_of(score_counts(df, score, label, rows_per_bucket)).select("auc_roc")
 
 
 def auc_pr(df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Area under the precision–recall curve by trapezoids, starting at recall 0, precision 1."""
-    return score_counts(df, score, label, rows_per_bucket).agg(_pr_area().alias("auc_pr"))
+    return areas_of(score_counts(df, score, label, rows_per_bucket)).select("auc_pr")
 
 
 def areas(df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Both areas from one pass over the running counts."""
-    return score_counts(df, score, label, rows_per_bucket).agg(
-        _roc_area().alias("auc_roc"), _pr_area().alias("auc_pr")
+    return areas_of(score_counts(df, score, label, rows_per_bucket))
+
+
+def roc_points(counts: DataFrame) -> DataFrame:
+    """ROC points of ``score_counts``."""
+    points = counts.select("threshold", _ratio("fp", "negatives").alias("fpr"), _ratio("tp", "positives").alias("tpr"))
+    return points.unionByName(_end_point(counts, threshold=float("inf"), fpr=0.0, tpr=0.0))
+
+
+def pr_points(counts: DataFrame) -> DataFrame:
+    """Precision–recall points of ``score_counts``."""
+    points = counts.select(
+        "threshold",
+        _ratio("tp", "positives").alias("recall"),
+        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
     )
+    return points.unionByName(_end_point(counts, threshold=None, recall=0.0, precision=1.0))
+
+
+def areas_of(counts: DataFrame) -> DataFrame:
+    """Both areas of ``score_counts``; null where a class that they need is absent."""
+    return counts.agg(_roc_area().alias("auc_roc"), _pr_area().alias("auc_pr"))
 
 
 def _roc_area():

@@ -60,7 +60,12 @@ def fill_mean(
 
 
 def fill_group_mean(
-    df: DataFrame, group: str, value: str, output: str | None = None, nan_as_missing: bool = False
+    df: DataFrame,
+    group: str,
+    value: str,
+    output: str | None = None,
+    nan_as_missing: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Fill nulls with the mean of the row's group, in one shot.
 
@@ -68,7 +73,7 @@ def fill_group_mean(
     The per-group table is computed once and joined according to its measured size.
     """
     stats = scratch.write_table(group_means(df, group, value, nan_as_missing), "group-means")
-    joined = join_group_stats(df, stats, group, [f"mean_{value}"], "n_rows")
+    joined = join_group_stats(df, stats, group, [f"mean_{value}"], "n_rows", broadcast_bytes)
     filled = F.when(missing(value, nan_as_missing), F.col(f"mean_{value}")).otherwise(F.col(value))
     return joined.withColumn(output or value, filled).drop(f"mean_{value}")
 
@@ -101,7 +106,9 @@ def join_group_stats(
     hot = stats.where(is_hot).select(
         group, *[F.col(c).alias(h) for c, h in hot_names.items()], F.lit(True).alias("_hot")
     )
-    cold = stats.where(~is_hot).drop(rows_column).withColumn("_spread", F.lit(0))
+    # Always 0, but read from a column: Catalyst would fold a literal and drop the key from the shuffle.
+    zero = F.pmod(F.col(rows_column), F.lit(1)).cast("int")
+    cold = stats.where(~is_hot).withColumn("_spread", zero).drop(rows_column)
     # The salt is the number of the input partition: the same on every retry of a task.
     salt = F.when(
         F.col("_hot").isNotNull() | F.col(group).isNull(), F.pmod(F.spark_partition_id(), F.lit(SPREAD)) + 1
@@ -167,7 +174,9 @@ class FillModel:
         out = df
         for output, (group, value) in self.spec.group_mean.items():
             stats = self.groups.where(F.col("fill") == output).select(
-                F.col("group_value").cast(df.schema[group].dataType).alias(group), F.col("mean").alias(f"_mean_{output}"), "n_rows"
+                F.col("group_value").cast(df.schema[group].dataType).alias(group),
+                F.col("mean").alias(f"_mean_{output}"),
+                "n_rows",
             )
             fallback = F.lit(constants.get((value, "mean"))) if self.spec.global_fallback else F.lit(None)
             own = F.when(missing(value, self.spec.nan_as_missing), F.lit(None)).otherwise(F.col(value))

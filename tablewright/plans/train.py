@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablewright import scratch
 from tablewright.functions.columns import positive_probability
 from tablewright.operators import metrics as m
-from tablewright.operators.curves import areas, pr_curve, roc_curve
+from tablewright.operators.curves import areas_of, pr_points, roc_points, score_counts
 from tablewright.operators.encode import feature_importance, feature_info, signature
 from tablewright.operators.sampling import hash_split
 from tablewright.operators.tuning import (
@@ -40,7 +40,10 @@ class Evaluation:
 
 
 def evaluate(model: PipelineModel, held_out: DataFrame, label: str) -> Evaluation:
-    """Score the rows once, into a table of three columns, and derive every figure from it."""
+    """Score the rows once, into a table of three columns, and derive every figure from it.
+
+    The running counts over the scores are stored as well: both curves and both areas read them.
+    """
     scored = scratch.write_table(
         model.transform(held_out).select(
             F.col(label).cast("double").alias("label"),
@@ -50,13 +53,14 @@ def evaluate(model: PipelineModel, held_out: DataFrame, label: str) -> Evaluatio
         "evaluation",
     )
     pairs = scratch.write_table(m.pair_counts(scored), "pairs")
-    headline = m.to_long(m.classification_metrics(pairs)).unionByName(m.to_long(areas(scored, "score", "label")))
+    counts = scratch.write_table(score_counts(scored, "score", "label"), "score-counts")
+    headline = m.to_long(m.classification_metrics(pairs)).unionByName(m.to_long(areas_of(counts)))
     return Evaluation(
         metrics=scratch.write_table(headline, "metrics"),
         report=m.classification_report(pairs),
         confusion=m.confusion_matrix(pairs),
-        roc=roc_curve(scored, "score", "label"),
-        pr=pr_curve(scored, "score", "label"),
+        roc=roc_points(counts),
+        pr=pr_points(counts),
     )
 
 

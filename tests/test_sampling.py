@@ -1,6 +1,6 @@
 import pytest
 
-from tablewright.operators.sampling import hash_sample, hash_split, sample_n, with_fold
+from tablewright.operators.sampling import bernoulli_sample, hash_sample, hash_split, random_split, sample_n, with_fold
 
 
 @pytest.fixture(scope="module")
@@ -43,3 +43,9 @@ def test_text_keys(spark):
     assert 0.16 < hash_sample(df, "k", 0.2).count() / 5000 < 0.24
     with pytest.raises(ValueError):
         hash_sample(df, "k", 0.2, method="other")
+
+
+def test_keyless_sample_and_split(keyed):
+    assert 0.17 < bernoulli_sample(keyed, 0.2).count() / 20_000 < 0.23
+    first, second = random_split(keyed, [0.8, 0.2])
+    assert first.count() + second.count() == 20_000
