@@ -7,20 +7,58 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.llm.lines import without_repeated_lines
 from tablewright.llm.minhash import NearDuplicates, near_duplicates
+from tablewright.llm.packing import pack, piece_checksum
+from tablewright.llm.tokens import token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeated_lines(_table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pack(_table(spark, folder, "documents"))
+    return pieces.select("doc_id", "start", "length", piece_checksum().alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(_table(spark, folder, "documents"))
+
+
 def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_table(spark, folder, "documents"), NearDuplicates(shingle=4))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_lines": op4_lines,
+    "op6_packing": op6_packing,
+    "op7_tokens": op7_tokens,
     "op9_minhash": op9_minhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_lines": """
+        WITH whole AS (SELECT doc_id, text, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents),
+        line AS (SELECT doc_id, text, unnest(lines) AS l, generate_subscripts(lines, 1) AS i FROM whole),
+        span AS (
+            SELECT doc_id, text, i, l AS a, lead(l) OVER w AS b, lead(l, 2) OVER w AS c FROM line WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+        ),
+        told AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS n
+            FROM span WHERE c IS NOT NULL AND trim(a || b || c) <> ''
+        ),
+        gone AS (SELECT DISTINCT doc_id, i + k AS i FROM told, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1),
+        marked AS (SELECT line.doc_id, line.i, line.l, gone.i IS NOT NULL AS out FROM line LEFT JOIN gone USING (doc_id, i))
+        SELECT w.doc_id, CAST(len(w.lines) AS BIGINT) AS n_lines, CAST(coalesce(m.n, 0) AS BIGINT) AS n_removed,
+            CASE WHEN w.text IS NOT NULL THEN coalesce(m.kept, '') END AS text
+        FROM whole w LEFT JOIN (
+            SELECT doc_id, count(*) FILTER (WHERE out) AS n, string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT out) AS kept FROM marked GROUP BY doc_id
+        ) m USING (doc_id)
+    """,
+}
