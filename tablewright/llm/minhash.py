@@ -132,8 +132,7 @@ def near_duplicates(documents: DataFrame, spec: NearDuplicates = NearDuplicates(
     Equal sets are one class, so copies cost one row of counting each. Classes that share a band meet in that band's
     bucket. In every bucket each class is compared with two leaders: the class met most often over all buckets (the source
     of a family of copies), and the smallest. Buckets whose classes are then still in different groups have all their
-    pairs across groups compared by signature inside tasks, in tiles of bounded size, and those near the threshold
-    verified. A link counts only if the full sets reach the threshold.
+    pairs across groups compared inside tasks, in tiles of bounded size. A link counts only if the full sets reach the threshold.
 
     A null text is empty. An empty set links with nothing: component_id is its own doc_id. A null doc_id takes no part:
     component_id null, kept true. Rows that share a doc_id are compared each with its own text. Other columns are ignored.
@@ -159,7 +158,7 @@ def near_duplicates(documents: DataFrame, spec: NearDuplicates = NearDuplicates(
 
 
 def _links(documents: DataFrame, classes: DataFrame, spec: NearDuplicates, id_column: str, text: str) -> DataFrame:
-    met = classes.select("key", "n", F.explode("bands").alias("bucket"))
+    met = classes.select("key", "n", F.posexplode("bands").alias("band", "bucket"))
     sizes = met.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     met = write_table(met.join(sizes, "bucket"), "buckets")
     ranks = met.groupBy("key").agg(F.sum("members").alias("degree"))
@@ -179,47 +178,67 @@ def _links(documents: DataFrame, classes: DataFrame, spec: NearDuplicates, id_co
     groups = components(first)
     grouped = met.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     divided = grouped.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    rest = grouped.join(divided, "bucket").join(classes.select("key", "signature"), "key")
-    more = write_table(_across(rest, spec), "rest-pairs").join(pairs, ["a", "b"], "left_anti")
-    return first.unionByName(_verified(documents, classes, write_table(more, "rest-open"), spec, id_column, text)).distinct()
+    rest = write_table(grouped.join(divided, "bucket"), "divided")
+    sets = _full_sets(documents, classes, rest.select("key").distinct(), spec, id_column, text).drop("n")
+    more = _across(rest.join(classes.select("key", "signature"), "key").join(sets, "key"), spec)
+    return first.unionByName(more).distinct()
 
 
 def _across(rest: DataFrame, spec: NearDuplicates) -> DataFrame:
-    """Pairs (a, b) of one bucket but different groups whose signatures come near the threshold.
+    """Links (a, b) between classes of one bucket but different groups.
 
     Every bucket is cut into tiles of about ``spec.tile`` classes; each pair of tiles is one group of rows for one task.
+    Signatures rule most pairs out; the others are verified on full sets at once, so that only links leave the task. A
+    pair that meets in several buckets is looked at in its first band alone, and not again once its groups are joined.
     """
     tiles = F.ceil(F.col("members") / spec.tile).cast("int")
     own = F.pmod(F.xxhash64("key"), tiles).cast("int")
-    placed = rest.select("bucket", "key", "n", "root", "signature", own.alias("tile"), tiles.alias("tiles")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("facing")
-    )
-    placed = placed.withColumns({"x": F.least("tile", "facing"), "y": F.greatest("tile", "facing")}).drop("tiles", "facing")
+    columns = ["bucket", "band", "key", "n", "root", "signature", "elements"]
+    placed = rest.select(*columns, own.alias("tile"), F.explode(F.sequence(F.lit(0), tiles - 1)).alias("facing"))
+    placed = placed.withColumns({"x": F.least("tile", "facing"), "y": F.greatest("tile", "facing")}).drop("facing")
     least_equal = (spec.percent - spec.slack) * spec.slots / 100
 
     def compare(table: pa.Table) -> pa.Table:
-        keys, sides = table["key"].to_pylist(), table["tile"].to_numpy()
-        n = table["n"].to_numpy()
-        roots = np.unique(np.array(table["root"].to_pylist(), dtype="S32"), return_inverse=True)[1]
+        keys, sides, n = table["key"].to_pylist(), table["tile"].to_numpy(), table["n"].to_numpy()
+        elements = table["elements"].combine_chunks()
+        bounds, values = elements.offsets.to_numpy(), elements.values.to_numpy()
+        root_of = {k: k for k in table["root"].to_pylist()}
+        roots = table["root"].to_pylist()
         signatures = np.stack([np.frombuffer(s, dtype="<u2") for s in table["signature"].to_pylist()])
-        low = sides == table["x"][0].as_py()
-        right = np.flatnonzero(~low) if table["x"][0].as_py() != table["y"][0].as_py() else np.arange(len(keys))
+        x, y, band = (table[c][0].as_py() for c in ("x", "y", "band"))
+        right = np.flatnonzero(sides != x) if x != y else np.arange(len(keys))
+
+        def find(k: bytes) -> bytes:
+            while root_of[k] != k:
+                root_of[k] = k = root_of[root_of[k]]
+            return k
+
         out_a, out_b = [], []
-        for i in np.flatnonzero(low):
-            near = right[(roots[right] != roots[i]) & (100 * np.minimum(n[right], n[i]) >= spec.percent * np.maximum(n[right], n[i]))]
-            near = near[(signatures[near] == signatures[i]).sum(axis=1) >= least_equal]
+        for i in np.flatnonzero(sides == x):
+            near = right[right > i] if x == y else right
+            near = near[100 * np.minimum(n[near], n[i]) >= spec.percent * np.maximum(n[near], n[i])]
+            equal = signatures[near] == signatures[i]
+            chosen = equal.sum(axis=1) >= least_equal
+            near, equal = near[chosen], equal[chosen]
+            near = near[equal.reshape(len(near), spec.bands, spec.rows).all(axis=2).argmax(axis=1) == band]
+            mine = values[bounds[i] : bounds[i + 1]]
             for j in near:
-                out_a.append(min(keys[i], keys[j]))
-                out_b.append(max(keys[i], keys[j]))
+                p, q = find(roots[i]), find(roots[j])
+                if p == q:
+                    continue
+                common = len(np.intersect1d(mine, values[bounds[j] : bounds[j + 1]], assume_unique=True))
+                if 100 * common >= spec.percent * (n[i] + n[j] - common):
+                    root_of[max(p, q)] = min(p, q)
+                    out_a.append(min(keys[i], keys[j]))
+                    out_b.append(max(keys[i], keys[j]))
         return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
 
-    return placed.groupBy("bucket", "x", "y").applyInArrow(compare, "a binary, b binary").distinct()
+    return placed.groupBy("bucket", "x", "y").applyInArrow(compare, "a binary, b binary")
 
 
-def _verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame, spec: NearDuplicates, id_column: str, text: str) -> DataFrame:
-    """The pairs whose full sets reach the threshold. Only documents that stand in a pair have their sets built again."""
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    needed = classes.select("key", F.col("first_id").alias("id"), "n").join(keys, "key")
+def _full_sets(documents: DataFrame, classes: DataFrame, keys: DataFrame, spec: NearDuplicates, id_column: str, text: str) -> DataFrame:
+    """Rows (key, n, elements): the full sets of some classes, built again from the texts of their first documents."""
+    needed = classes.select("key", F.col("first_id").alias("id")).join(keys, "key")
     source = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
     fields = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("elements", pa.list_(pa.int64()))])
 
@@ -232,8 +251,14 @@ def _verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame, spec:
             out = pa.RecordBatch.from_arrays([own, pa.array(np.diff(bounds).astype(np.int64)), tx.lists(pa.array(hashes.view(np.int64)), bounds)], schema=fields)
             yield out.filter(same)
 
-    sets = source.join(needed.select("id", "key"), "id").select("key", "text").mapInArrow(of, "key binary, n long, elements array<long>")
-    sets = write_table(sets, "sets")
+    found = source.join(needed, "id").select("key", "text").mapInArrow(of, "key binary, n long, elements array<long>")
+    return write_table(found, "sets")
+
+
+def _verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame, spec: NearDuplicates, id_column: str, text: str) -> DataFrame:
+    """The pairs whose full sets reach the threshold. Only documents that stand in a pair have their sets built again."""
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = _full_sets(documents, classes, keys, spec, id_column, text)
     left = sets.select(F.col("key").alias("a"), F.col("n").alias("p"), F.col("elements").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("n").alias("q"), F.col("elements").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
