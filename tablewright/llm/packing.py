@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,8 +16,8 @@ from tablewright.llm import text as tx
 from tablewright.llm import tokenizer
 from tablewright.scratch import write_table
 
-#: Words and their ids that a Python worker remembers, at most twice as many.
-REMEMBERED = 400_000
+#: White-space separated words, and pre-tokens, whose ids a Python worker remembers; at most twice as many of each.
+REMEMBERED_WORDS, REMEMBERED_PRETOKENS = 250_000, 400_000
 
 
 @dataclass(frozen=True)
@@ -65,37 +66,52 @@ def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
 
 
 class _Ids:
-    """Ids of texts with the ids of white-space separated words kept for the next texts."""
+    """Ids of texts. The ids of words and of the pre-tokens in them are kept for the next texts."""
 
     def __init__(self, path: str):
-        self.tok, self.new, self.old = tokenizer.load(path), {}, {}
+        self.tok = tokenizer.load(path)
+        self.narrow = self.tok.whole.get_vocab_size() <= 1 << 16
+        self.words, self.old_words, self.pretokens, self.old_pretokens = {}, {}, {}, {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         words = [text.lower().split() if self.tok.plain(text) else None for text in texts]
-        wanted = set().union(*(w for w in words if w)) - self.new.keys()
+        self._learn(set().union(*(w for w in words if w)).difference(self.words))
+        get = self.words.__getitem__
+        out = [b"".join(map(get, w)) if w is not None else self._whole(text) for w, text in zip(words, texts)]
+        if len(self.words) > REMEMBERED_WORDS:
+            self.words, self.old_words = {}, self.words
+        if len(self.pretokens) > REMEMBERED_PRETOKENS:
+            self.pretokens, self.old_pretokens = {}, self.pretokens
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        parts = {}
+        for word in words:
+            own = self.old_words.get(word)
+            if own is None:
+                parts[word] = self.tok.pieces(word)
+            else:
+                self.words[word] = own
         missing = []
-        for word in wanted:
-            if (own := self.old.get(word)) is None:
-                missing.append(word)
+        for pretoken in set().union(*parts.values()).difference(self.pretokens):
+            own = self.old_pretokens.get(pretoken)
+            if own is None:
+                missing.append(pretoken)
             else:
-                self.new[word] = own
+                self.pretokens[pretoken] = own
         for i in range(0, len(missing), 4096):
             part = missing[i : i + 4096]
-            for word, found in zip(part, self.tok.whole.encode_batch_fast(part, add_special_tokens=False)):
-                self.new[word] = np.array(found.ids, "<u4").astype("<u2" if self.narrow else "<u4").tobytes()
-        get = self.new.__getitem__
-        out = [b"".join(map(get, w)) if w is not None else self._whole(text) for w, text in zip(words, texts)]
-        if len(self.new) > REMEMBERED:
-            self.new, self.old = {}, self.new
-        return out
+            for pretoken, found in zip(part, self.tok.model.encode_batch_fast(part, add_special_tokens=False)):
+                self.pretokens[pretoken] = self._packed(found.ids)
+        get = self.pretokens.__getitem__
+        for word, own in parts.items():
+            self.words[word] = get(own[0]) if len(own) == 1 else b"".join(map(get, own))
 
-    @property
-    def narrow(self) -> bool:
-        return self.tok.whole.get_vocab_size() <= 1 << 16
+    def _packed(self, ids: list[int]) -> bytes:
+        return array.array("H" if self.narrow else "I", ids).tobytes()
 
     def _whole(self, text: str) -> bytes:
-        ids = self.tok.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").astype("<u2" if self.narrow else "<u4").tobytes()
+        return self._packed(self.tok.whole.encode(text, add_special_tokens=False).ids)
 
 
 _IDS: dict[str, _Ids] = {}

@@ -60,6 +60,10 @@ class WordTokenizer:
                 for piece in _pieces(part):
                     yield [p for p, _ in self._split.pre_tokenize_str(self.whole.normalizer.normalize_str(piece))]
 
+    def pieces(self, lowered: str) -> list[str]:
+        """The pre-tokens of a plain text in lower case."""
+        return self._pieces.findall(lowered)
+
     def counts(self, pretokens: list[str]) -> list[int]:
         """How many ids each pre-token has."""
         out = []
