@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import array
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -74,6 +75,13 @@ class _Ids:
         self.words, self.old_words, self.pretokens, self.old_pretokens = {}, {}, {}, {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        gc.disable()  # nothing here makes cycles, and each pass would walk all that is remembered
+        try:
+            return self._of(texts)
+        finally:
+            gc.enable()
+
+    def _of(self, texts: list[str]) -> list[bytes]:
         words = [text.lower().split() if self.tok.plain(text) else None for text in texts]
         self._learn(set().union(*(w for w in words if w)).difference(self.words))
         get = self.words.__getitem__

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.llm import language, quality, toxicity
+from tablewright.llm.labelled import remainder
 from tablewright.llm.lines import without_repeated_lines
 from tablewright.llm.minhash import NearDuplicates, near_duplicates
 from tablewright.llm.packing import pack, piece_checksum
@@ -21,6 +23,13 @@ def op4_lines(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeated_lines(_table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    filters = language.fit(documents.where(~held_out))
+    return language.detect(documents, filters).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(_table(spark, folder, "documents"))
     return pieces.select("doc_id", "start", "length", piece_checksum().alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -30,6 +39,30 @@ def op7_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"))
 
 
+def _held_out():
+    return F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+
+
+def _labelled(spark: SparkSession, folder: str, label: str) -> DataFrame:
+    """Texts with a label, without the rows held out."""
+    labels = _table(spark, folder, "labels").select("doc_id", F.col(label).alias("label")).where(~_held_out() & F.col("label").isNotNull())
+    return _table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
+
+
+def quality_model(spark: SparkSession, folder: str) -> quality.Quality:
+    return quality.fit(_labelled(spark, folder, "quality"))
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality.score(_table(spark, folder, "documents").select("doc_id", "text"), quality_model(spark, folder))
+    return scored.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score(_table(spark, folder, "documents").select("doc_id", "text"), toxicity.fit(_labelled(spark, folder, "toxic")))
+    return scored.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_table(spark, folder, "documents"), NearDuplicates(shingle=4))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -37,9 +70,12 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lines": op4_lines,
+    "op5_language": op5_language,
     "op6_packing": op6_packing,
     "op7_tokens": op7_tokens,
+    "op8_quality": op8_quality,
     "op9_minhash": op9_minhash,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
