@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import language, quality, toxicity
+from tablewright.llm import language, licenses, quality, toxicity
+from tablewright.llm.forest import near_vectors
 from tablewright.llm.labelled import remainder
 from tablewright.llm.lines import without_repeated_lines
 from tablewright.llm.minhash import NearDuplicates, near_duplicates
@@ -19,6 +20,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.digest(licenses.scan(_table(spark, folder, "documents")))
+
+
+def op3_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op4_lines(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeated_lines(_table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
@@ -69,6 +78,8 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_licenses": op2_licenses,
+    "op3_forest": op3_forest,
     "op4_lines": op4_lines,
     "op5_language": op5_language,
     "op6_packing": op6_packing,
