@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import language, licenses, quality, toxicity
+from tablewright.llm.decontaminate import leaks
 from tablewright.llm.forest import near_vectors
 from tablewright.llm.labelled import remainder
 from tablewright.llm.lines import without_repeated_lines
@@ -20,6 +21,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.digest(licenses.scan(_table(spark, folder, "documents")))
 
@@ -78,6 +83,7 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_licenses": op2_licenses,
     "op3_forest": op3_forest,
     "op4_lines": op4_lines,
