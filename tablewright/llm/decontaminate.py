@@ -31,7 +31,7 @@ class Decontamination:
     windows: tuple[int, ...] = (1, 2, 4)
     rank: int = 128
     cosine: float = 0.5
-    weight: float = 0.2
+    weight: float = 0.25
     common: float = 0.6
     answer: float = 0.5
     least: int = 5
@@ -216,6 +216,72 @@ def _subsequence(item: list[int], passage: list[int]) -> list[bool]:
     return used
 
 
+def _search(column: pa.Array, items: _Items, project: np.ndarray, queries: np.ndarray, weights: np.ndarray, other: float, spec: Decontamination) -> dict[tuple[int, int], tuple]:
+    """The leaks in a column of texts: of a row and an item's number the best (common, answer, cosine)."""
+    numbers, bounds = _numbers(column, items.vocabulary)
+    first, block_bounds = _blocks(bounds, spec.block)
+    best: dict[tuple[int, int], tuple] = {}
+    if not len(first):
+        return best
+    mass = np.concatenate(([0], np.cumsum(np.append(weights, 0)[numbers])))
+    known = np.concatenate(([0], np.cumsum(numbers >= 0)))
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(block_bounds))
+    text_start, text_end = bounds[owner], bounds[owner + 1]
+    lengths = np.array([len(t) for t in items.tokens])
+    distinct = [np.unique(t, return_counts=True) for t in items.tokens]
+    for n in spec.windows:
+        end = np.minimum(first + n * spec.block, text_end)
+        # A shorter rest of a text is a window of fewer blocks already, but for its only one.
+        use = end - first > (n - 1) * spec.block
+        inside = mass[end] - mass[first]
+        all_of = inside + other**2 * (end - first - known[end] + known[first])
+        wide_from, wide_to = np.maximum(first - spec.block, text_start), np.minimum(end + spec.block, text_end)
+        # No common subsequence is longer than the known words around.
+        use &= known[wide_to] - known[wide_from] >= spec.common * lengths.min()
+        picked = np.flatnonzero(use & (inside >= spec.weight * all_of))
+        for at in range(0, len(picked), 4096):
+            part = picked[at : at + 4096]
+            sizes = end[part] - first[part]
+            start = np.concatenate(([0], np.cumsum(sizes)))
+            words = np.repeat(first[part] - start[:-1], sizes) + np.arange(start[-1])
+            word, row = numbers[words], np.repeat(np.arange(len(part)), sizes)
+            row, word = row[word >= 0], word[word >= 0]
+            begin = np.flatnonzero(np.diff(row, prepend=-1))
+            vectors = np.zeros((len(part), project.shape[1]), dtype=np.float32)
+            if len(begin):
+                vectors[row[begin]] = np.add.reduceat(project[word], begin, axis=0)
+            vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+            room = known[wide_to[part]] - known[wide_from[part]]
+            for base in range(0, len(queries), spec.item_block):
+                near = vectors @ queries[base : base + spec.item_block].T
+                near[room[:, None] < spec.common * lengths[None, base : base + spec.item_block]] = -1
+                rows, found = np.nonzero(near >= spec.cosine)
+                last, have = -1, None
+                for i, j in zip(rows.tolist(), found.tolist()):
+                    if i != last:
+                        if have is not None:
+                            have[passage] = False
+                        else:
+                            have = np.zeros(len(items.vocabulary) + 1, dtype=bool)
+                        passage = numbers[wide_from[part[i]] : wide_to[part[i]]]
+                        have[passage] = True
+                        have[-1] = False
+                        last = i
+                    item = base + j
+                    # Nor than the words that both have.
+                    own, times = distinct[item]
+                    if times[have[own]].sum() < spec.common * lengths[item]:
+                        continue
+                    used = _subsequence(items.tokens[item], passage.tolist())
+                    common = sum(used) / len(used)
+                    cut = items.answer_from[item]
+                    answer = sum(used[cut:]) / (len(used) - cut)
+                    if common >= spec.common and answer >= spec.answer:
+                        key = int(owner[part[i]]), item
+                        best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (common, answer, float(near[i, j])))
+    return best
+
+
 def leaks(
     documents: DataFrame, benchmark: DataFrame, spec: Decontamination = Decontamination(), id_column: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
@@ -241,62 +307,12 @@ def leaks(
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, project, queries = own.value
         for batch in tx.slices(batches, "text", 2 << 20):
-            numbers, bounds = _numbers(batch.column(1), items.vocabulary)
-            first, block_bounds = _blocks(bounds, spec.block)
-            if not len(first):
-                continue
-            known = np.where(numbers >= 0, weights[numbers], 0)
-            mass = np.concatenate(([0], np.cumsum(known)))
-            whole = np.concatenate(([0], np.cumsum(np.where(numbers >= 0, known, other**2))))
-            text_end = np.repeat(bounds[1:], np.diff(block_bounds))
-            hits: dict[tuple[int, int], list] = {}
-            for n in spec.windows:
-                end = np.minimum(first + n * spec.block, text_end)
-                # A shorter rest of a text is a window of fewer blocks already, but for its only one.
-                if n > 1:
-                    use = end - first > (n - 1) * spec.block
-                else:
-                    use = np.ones(len(first), dtype=bool)
-                inside, all_of = mass[end] - mass[first], whole[end] - whole[first]
-                picked = np.flatnonzero(use & (inside >= spec.weight * all_of))
-                for at in range(0, len(picked), 4096):
-                    part = picked[at : at + 4096]
-                    sizes = end[part] - first[part]
-                    start = np.concatenate(([0], np.cumsum(sizes)))
-                    words = np.repeat(first[part] - start[:-1], sizes) + np.arange(start[-1])
-                    word, row = numbers[words], np.repeat(np.arange(len(part)), sizes)
-                    row, word = row[word >= 0], word[word >= 0]
-                    begin = np.flatnonzero(np.diff(row, prepend=-1))
-                    vectors = np.zeros((len(part), project.shape[1]), dtype=np.float32)
-                    if len(begin):
-                        vectors[row[begin]] = np.add.reduceat(project[word], begin, axis=0)
-                    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-                    for base in range(0, len(queries), spec.item_block):
-                        near = vectors @ queries[base : base + spec.item_block].T
-                        for i, j in zip(*np.nonzero(near >= spec.cosine)):
-                            hits.setdefault((int(part[i]), base + int(j)), []).append((n, float(near[i, j])))
-            best: dict[tuple[int, int], tuple] = {}
-            owner = np.searchsorted(block_bounds, np.array([b for b, _ in hits]), side="right") - 1 if hits else []
-            for ((block, item), found), row in zip(hits.items(), owner):
-                n, cosine = max(f[0] for f in found), max(f[1] for f in found)
-                a = max(int(bounds[row]), int(first[block]) - spec.block)
-                b = min(int(bounds[row + 1]), int(first[block]) + (n + 1) * spec.block)
-                wanted = items.tokens[item]
-                passage = numbers[a:b].tolist()
-                # No common subsequence is longer than the words that both have.
-                if sum(map(set(passage).__contains__, wanted)) < spec.common * len(wanted):
-                    continue
-                used = _subsequence(wanted, passage)
-                common = sum(used) / len(wanted)
-                cut = items.answer_from[item]
-                answer = sum(used[cut:]) / (len(wanted) - cut)
-                if common >= spec.common and answer >= spec.answer:
-                    best[row, item] = max(best.get((row, item), (0.0, 0.0, 0.0)), (common, answer, cosine))
+            best = _search(batch.column(1), items, project, queries, weights, other, spec)
             if best:
                 ids = batch.column(0)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([ids[int(r)].as_py() for r, _ in best], pa.int64()), pa.array([items.ids[i] for _, i in best], pa.int64()),
+                        pa.array([ids[r].as_py() for r, _ in best], pa.int64()), pa.array([items.ids[i] for _, i in best], pa.int64()),
                         pa.array([x[2] for x in best.values()]), pa.array([x[0] for x in best.values()]), pa.array([x[1] for x in best.values()]),
                     ],
                     names=["doc_id", "item_id", "cosine", "common", "answer"],

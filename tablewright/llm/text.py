@@ -30,6 +30,7 @@ _BYTE_CODES = mix(np.arange(256), 101)[LOWER]
 _BYTE_CODES_CASED = mix(np.arange(256), 101)
 _POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15 | 1, dtype=np.uint64), dtype=np.uint64)
 _HIGH_POWERS = mix(np.arange(4096), 103) | np.uint64(1)
+_HIGH_POWERS[0] = 1  # short words hash alike beside very long ones
 
 #: Byte classes of words: letters and digits; anything but white space.
 ALNUM = np.zeros(256, dtype=bool)

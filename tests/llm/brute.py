@@ -39,3 +39,49 @@ def near_duplicates(rows, size, percent=80):
                 a, b = sorted((find(d), find(other)))
                 root[b] = a
     return {d: (len(s), find(d)) for d, s in sets.items()}
+
+
+def common_subsequence(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def license_places(text, phrases):
+    """Number of words, and (start, label) of every phrase."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    found = []
+    for phrase, label in phrases:
+        own = phrase.split()
+        found += [(i, label) for i in range(len(words) - len(own) + 1) if words[i : i + len(own)] == own]
+    return len(words), sorted(found)
+
+
+def near_vectors(rows, threshold):
+    """rows: (id, vector, label). Returns id -> (links, smallest reachable id)."""
+    import numpy as np
+
+    def fine(v):
+        return v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    good = [(i, np.array(v, float), k) for i, v, k in rows if k is not None and fine(v)]
+    links, root = {i: 0 for i, _, _ in rows}, {i: i for i, _, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, (i, v, k) in enumerate(good):
+        for j, w, m in good[:n]:
+            if k == m and v @ w / np.linalg.norm(v) / np.linalg.norm(w) >= threshold:
+                links[i] += 1
+                links[j] += 1
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: (links[i], find(i)) for i in root}

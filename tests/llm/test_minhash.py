@@ -105,3 +105,5 @@ def test_words_stop_at_text_borders():
     assert len(set(h.tolist())) == 6
     alone = tx.buffer(pa.array(["aB" + "c" * 5000]))
     assert tx.word_hashes(*alone[:1], np.array([0]), np.array([5002]))[0] == h[5]
+    few = tx.buffer(pa.array(["ab"]))
+    assert tx.word_hashes(*few[:1], np.array([0]), np.array([2]))[0] == h[0]
