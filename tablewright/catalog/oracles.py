@@ -103,7 +103,7 @@ ks AS (
   FROM ks_upto GROUP BY feature
 ),
 ks_p AS (
-  SELECT *, {_ks_p("d * sqrt(CAST(n_new AS DOUBLE) * n_base / (n_new + n_base))")} AS p FROM ks
+  SELECT *, {_ks_p("d * (sqrt(CAST(n_new AS DOUBLE) * n_base / (n_new + n_base)) + 0.12 + 0.11 / nullif(sqrt(CAST(n_new AS DOUBLE) * n_base / (n_new + n_base)), 0))")} AS p FROM ks
 )"""
 
 

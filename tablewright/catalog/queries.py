@@ -260,7 +260,7 @@ def drift_chi2_yates(spark, folder):
 
 
 def _ks(spark, folder, **options):
-    result = drift.ks_drift(*src.two_samples(spark, folder), ["v", "user_id", "tripled", "absent"], method="limit", **options)
+    result = drift.ks_drift(*src.two_samples(spark, folder), ["v", "user_id", "tripled", "absent"], **options)
     return result.withColumns({"statistic": rounded("statistic", 9), "p_value": rounded("p_value")})
 
 
@@ -279,7 +279,6 @@ def _report(spark, folder):
         *src.two_samples(spark, folder),
         ["v", "user_id", "tripled", "absent"],
         ["event_type", "one_type", "absent"],
-        method="limit",
     )
 
 
@@ -628,7 +627,7 @@ def stream_drift(spark, folder):
         scratch.new_path(spark, n) for n in ("arriving", "stored", "reports", "decisions", "progress")
     )
     counts = drift.StoredBaseline.build(baseline, ["v", "user_id"], ["event_type"])
-    handler = drift_stream.batch_handler(counts, stored, reports, decisions, rows.schema, method="limit")
+    handler = drift_stream.batch_handler(counts, stored, reports, decisions, rows.schema)
     for batch in batches:
         batch.write.mode("append").parquet(arriving)
         drift_stream.stream_drift(spark, arriving, rows.schema, handler, progress).awaitTermination()

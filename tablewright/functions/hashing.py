@@ -30,11 +30,11 @@ def unit_from_hash(hashed: Column, bits: int) -> Column:
 
 
 def unit_draw(*keys: str, seed: int = 42, method: str = "xxhash64") -> Column:
-    """A number in [0, 1) that depends on the key (and seed) only."""
+    """A number in [0, 1) that depends on the key (and seed) only; 0 for a null key of the multiplicative hash."""
     if method == "xxhash64":
         return unit_from_hash(key_hash(*keys, seed=seed), 52)
     if method == "multiplicative":
         if len(keys) != 1:
             raise ValueError("the multiplicative hash takes one integer key")
-        return unit_from_hash(multiplicative_hash(keys[0]), 32)
+        return F.coalesce(unit_from_hash(multiplicative_hash(keys[0]), 32), F.lit(0.0))
     raise ValueError(f"unknown hash method {method!r}")

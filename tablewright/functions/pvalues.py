@@ -9,9 +9,6 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: beyond this sample size the exact two-sample law gives way to its limit.
-EXACT_LIMIT = 10_000
-
 _SERIES_TERMS = 100
 _LAMBDA_FLOOR = 0.2
 
@@ -30,13 +27,13 @@ def kolmogorov_sf(lam: Column) -> Column:
 def ks_limit_p(statistic: Column, n: Column, m: Column, corrected: bool = False) -> Column:
     """Large-sample p-value of the two-sample statistic, if wanted with Stephens' finite-size correction."""
     n, m = n.cast("double"), m.cast("double")
-    root = F.sqrt(n * m / (n + m))
+    root = F.sqrt(n * m / F.nullif(n + m, F.lit(0.0)))
     factor = root + 0.12 + 0.11 / F.nullif(root, F.lit(0.0)) if corrected else root
     return kolmogorov_sf(statistic * factor)
 
 
 def ks_exact_p(statistic: Column, n: Column, m: Column) -> Column:
-    """Exact p-value of the two-sample statistic; null where a sample is larger than EXACT_LIMIT."""
+    """Exact p-value of the two-sample statistic, at any size; its time grows with the product of the sample sizes."""
     return _ks_exact_udf()(statistic, n, m)
 
 
@@ -50,7 +47,7 @@ def _ks_exact_udf():
     def exact(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
         return pd.Series(
             [
-                None if pd.isna(d) or max(a, b) > EXACT_LIMIT or min(a, b) < 1 else ks_exit_probability(d, int(a), int(b))
+                None if pd.isna(d) or min(a, b) < 1 else ks_exit_probability(d, int(a), int(b))
                 for d, a, b in zip(statistic, n, m)
             ],
             dtype="float64",

@@ -30,17 +30,18 @@ def ks_drift(
     baseline: DataFrame,
     features: Sequence[str],
     alpha: float = ALPHA,
-    method: str = "auto",
+    method: str = "corrected",
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Two-sample Kolmogorov–Smirnov test of every numeric feature, in one job over both tables.
 
-    ``method``: ``limit`` uses the large-sample law, ``auto`` the exact law where both samples
-    have at most 10,000 values and the finite-size corrected law beyond. Null and NaN values are left out. A feature without values on one
-    side has no statistic and does not count as drifted.
+    ``method``, at every size: ``corrected`` uses the large-sample law with a finite-size correction, ``limit`` the plain
+    one, ``exact`` the exact law (for small samples: its time grows with the product of their sizes). Null and NaN values are
+    left out. A feature without values on one side has no statistic and does not count as drifted. Without a shared
+    feature the result is empty.
     """
     features = shared_features(new, baseline, features)
-    return _ks_of_values(_new_values(new, features), _base_values(baseline, features), alpha, method, rows_per_bucket)
+    return _ks_of_values(_new_values(new, features), _base_values(baseline, features), features, alpha, method, rows_per_bucket)
 
 
 def chi2_drift(new: DataFrame, baseline: DataFrame, features: Sequence[str], alpha: float = ALPHA) -> DataFrame:
@@ -81,7 +82,7 @@ class StoredBaseline:
         )
 
     def report(
-        self, new: DataFrame, alpha: float = ALPHA, method: str = "auto", rows_per_bucket: int = ROWS_PER_BUCKET
+        self, new: DataFrame, alpha: float = ALPHA, method: str = "corrected", rows_per_bucket: int = ROWS_PER_BUCKET
     ) -> DataFrame:
         """The drift report of a table against this baseline."""
         numeric = [f for f in self.numeric if f in new.columns]
@@ -91,7 +92,7 @@ class StoredBaseline:
         parts = []
         if numeric:
             parts.append(
-                _ks_rows(_ks_of_values(_new_values(new, numeric), base_numbers, alpha, method, rows_per_bucket))
+                _ks_rows(_ks_of_values(_new_values(new, numeric), base_numbers, numeric, alpha, method, rows_per_bucket))
             )
         if categorical:
             counts = _side_sums(_new_categories(new, categorical).unionByName(base_categories))
@@ -102,7 +103,7 @@ class StoredBaseline:
 def chi2_from_counts(counts: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """The test on a contingency table; with one degree of freedom it uses Yates' correction.
 
-    One category gives statistic 0 and p 1. An empty side gives no statistic.
+    One category gives statistic 0 and p 1. An empty side gives no statistic and no p-value.
     """
     # One row per feature: a bounded broadcast.
     totals = counts.groupBy("feature").agg(
@@ -127,7 +128,7 @@ def chi2_from_counts(counts: DataFrame, alpha: float = ALPHA) -> DataFrame:
     return (
         result.withColumn("statistic", F.when((F.col("dof") == 0) & F.col("raw").isNotNull(), 0.0).otherwise(F.col("raw")))
         .drop("raw")
-        .withColumn("p_value", F.when(F.col("dof") == 0, F.lit(1.0)).otherwise(chi2_sf(F.col("statistic"), F.col("dof"))))
+        .withColumn("p_value", F.when(F.col("statistic").isNull(), F.lit(None)).when(F.col("dof") == 0, F.lit(1.0)).otherwise(chi2_sf(F.col("statistic"), F.col("dof"))))
         .withColumn("drifted", _drifted(alpha))
     )
 
@@ -138,7 +139,7 @@ def drift_report(
     numeric: Sequence[str],
     categorical: Sequence[str],
     alpha: float = ALPHA,
-    method: str = "auto",
+    method: str = "corrected",
 ) -> DataFrame:
     """One row per feature: kind of test, statistic, degrees of freedom, p-value, drifted or not."""
     parts = []
@@ -178,9 +179,9 @@ def _drifted(alpha: float) -> Column:
 
 
 def _ks_of_values(
-    new_values: DataFrame, base_values: DataFrame, alpha: float, method: str, rows_per_bucket: int
+    new_values: DataFrame, base_values: DataFrame, features: Sequence[str], alpha: float, method: str, rows_per_bucket: int
 ) -> DataFrame:
-    if method not in ("auto", "limit"):
+    if method not in ("corrected", "limit", "exact"):
         raise ValueError(f"unknown method {method!r}")
     counts = running_counts(new_values.unionByName(base_values), ["new", "base"], rows_per_bucket)
     gap = F.abs(F.col("new_upto") / F.col("new_total") - F.col("base_upto") / F.col("base_total"))
@@ -190,10 +191,11 @@ def _ks_of_values(
         F.max("new_total").alias("n_new"),
         F.max("base_total").alias("n_base"),
     )
+    # A feature without any value on either side has a row, too.
+    names = new_values.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    result = names.join(result, "feature", "left").withColumns({n: F.coalesce(n, F.lit(0).cast("long")) for n in ("n_new", "n_base")})
     measured = F.col("statistic"), F.col("n_new"), F.col("n_base")
-    p = ks_limit_p(*measured)
-    if method == "auto":
-        p = F.coalesce(ks_exact_p(*measured), ks_limit_p(*measured, corrected=True))
+    p = ks_exact_p(*measured) if method == "exact" else ks_limit_p(*measured, corrected=method == "corrected")
     return result.withColumn("p_value", p).withColumn("drifted", _drifted(alpha))
 
 
@@ -214,6 +216,8 @@ def _base_categories(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def _long_categories(df: DataFrame, features: Sequence[str], new: int, base: int) -> DataFrame:
+    if not features:
+        return df.sparkSession.createDataFrame([], "feature string, category string, new long, base long")
     entries = [F.struct(F.lit(f).alias("feature"), _category_text(df, f).alias("category")) for f in features]
     return df.select(
         F.inline(F.array(*entries)), F.lit(new).cast("long").alias("new"), F.lit(base).cast("long").alias("base")

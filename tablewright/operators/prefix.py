@@ -38,6 +38,8 @@ def prefix_counts(
 
 def long_values(df: DataFrame, values: Sequence[str], weights: Mapping[str, Column]) -> DataFrame:
     """One row ``feature, value, <weights>`` for each present value of each value column."""
+    if not values:
+        return df.sparkSession.createDataFrame([], f"feature string, value double, {', '.join(f'{n} long' for n in weights)}")
     entries = [
         F.struct(F.lit(c).alias("feature"), without_negative_zero(F.col(c).cast("double")).alias("value"))
         for c in values

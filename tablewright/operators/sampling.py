@@ -41,6 +41,8 @@ def hash_split(
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = SAMPLE_SEED, method: str = "xxhash64") -> DataFrame:
     """Exactly ``n`` rows (all rows of a smaller table): the smallest hashes, as a top-n without a full sort."""
+    if method not in ("xxhash64", "multiplicative"):
+        raise ValueError(f"unknown hash method {method!r}")
     order = key_hash(key, seed=seed) if method == "xxhash64" else multiplicative_hash(key)
     return df.orderBy(order, F.col(key)).limit(n)
 

@@ -43,7 +43,7 @@ TUNING_SCHEMA = "family string, family_rank int, point int, params string, fold
 
 @dataclass(frozen=True)
 class TrainingSpec:
-    """What to learn from: features, label, and the row key that places rows in folds."""
+    """What to learn from: features, label, and the row key that places rows in folds and in ``parts`` partitions."""
 
     features: FeatureSpec
     label: str
@@ -51,6 +51,7 @@ class TrainingSpec:
     folds: int = FOLDS
     grids: Mapping[str, Mapping[str, Sequence]] = field(default_factory=lambda: GRIDS)
     parallelism: int = 4
+    parts: int = 16
 
 
 def classifier(family: str, label: str, features: str = "features", **params) -> Estimator:
@@ -68,21 +69,16 @@ def param_maps(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]
 def fit_family(df: DataFrame, spec: TrainingSpec, family: str, **params) -> PipelineModel:
     """Fit the feature stages and one classifier as one saved-together model."""
     stages = [*feature_stages(spec.features), classifier(family, spec.label, spec.features.output, **params)]
-    return Pipeline(stages=stages).fit(spread(df, spec.key))
+    return Pipeline(stages=stages).fit(spread(df, spec.key, spec.parts))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a part of a table that has fewer partitions than there are cores.
+def spread(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """The rows laid out in ``parts`` partitions by a hash of their key, ordered by key inside each.
 
-    Fitting passes over the rows many times, so one shuffle of a small table pays off; a table with
-    enough partitions is left alone. The rows are ordered by key inside a partition, because a
-    forest draws its samples by row position. The input should be a stored table: counting the
-    partitions of a plan with shuffles would run them.
+    A forest draws its samples by row position, so the layout must not depend on the machine or on the input's files.
+    Fitting passes over the rows many times, so the one shuffle pays off.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key).sortWithinPartitions(key)
+    return df.repartition(parts, key).sortWithinPartitions(key)
 
 
 def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
@@ -92,7 +88,7 @@ def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
     grid points; a cross validator around the whole pipeline would fit them again for each point.
     The feature vectors of a fold are persisted while its models are fitted, several at a time.
     """
-    folded = with_fold(spread(df, spec.key), spec.key, spec.folds)
+    folded = with_fold(spread(df, spec.key, spec.parts), spec.key, spec.folds)
     evaluator = MulticlassClassificationEvaluator(labelCol=spec.label, predictionCol="prediction", metricName="f1")
     rows: list[tuple] = []
     for fold in range(spec.folds):

@@ -21,7 +21,7 @@ def batch_handler(
     table_schema: StructType,
     model_exists: Callable[[], bool] = lambda: True,
     alpha: float = ALPHA,
-    method: str = "auto",
+    method: str = "corrected",
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch``: append the batch by name, report its drift, store the decision.
 
