@@ -122,6 +122,21 @@ RULE_FEATURES = FeatureSpec(numeric=("price",), categorical=("o_orderpriority",)
 RULE_TRAINING = TrainingSpec(features=RULE_FEATURES, label="label", key="o_orderkey")
 
 
+def given_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """A tuning table made of the orders: priorities as families, key remainders as grid points."""
+    point = (F.col("o_orderkey") % 5).cast("int")
+    return (
+        table(spark, folder, "orders")
+        .groupBy(
+            F.col("o_orderpriority").alias("family"),
+            F.substring("o_orderpriority", 1, 1).cast("int").alias("family_rank"),
+            point.alias("point"),
+            F.concat(F.lit('{"maxDepth": '), point.cast("string"), F.lit("}")).alias("params"),
+        )
+        .agg(F.round(F.avg((F.col("o_totalprice") > 200000).cast("double")), 6).alias("f1"))
+    )
+
+
 def scored_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents with a rule's prediction and a score."""
     documents = table(spark, folder, "documents").select("doc_id", "n_chars")

@@ -281,6 +281,10 @@ number_long AS (
 ),
 type_long AS (SELECT concat(batch_id, '|event_type') AS feature, event_type AS category, is_new FROM paired)"""
 
+GIVEN_SCORES = """(SELECT o_orderpriority AS family, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS family_rank, CAST(o_orderkey % 5 AS INTEGER) AS point,
+  '{"maxDepth": ' || (o_orderkey % 5) || '}' AS params, round(avg(CASE WHEN o_totalprice > 200000 THEN 1.0 ELSE 0.0 END), 6) AS f1
+  FROM orders GROUP BY ALL)"""
+
 ORACLES: dict[str, str] = {
     "csv_roundtrip": "SELECT * FROM part",
     "append_batch": f"""
@@ -504,5 +508,25 @@ report AS (
 SELECT CAST(split_part(feature, '|', 1) AS BIGINT) AS batch_id, split_part(feature, '|', 2) AS feature, kind,
        round(statistic, 6) AS statistic, dof, round(p_value, 6) AS p_value, p_value < 0.05 AS drifted
 FROM report
+""",
+    "append_rejects": """
+SELECT event_id, concat_ws(',', CASE WHEN TRY_CAST(event_type AS INTEGER) IS NULL THEN 'event_type' END,
+                           CASE WHEN TRY_CAST(event_id * 1000003 AS INTEGER) IS NULL THEN 'amount' END) AS misfits
+FROM events WHERE TRY_CAST(event_type AS INTEGER) IS NULL AND event_type IS NOT NULL OR TRY_CAST(event_id * 1000003 AS INTEGER) IS NULL
+""",
+    "score_accounted": """
+WITH o AS (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_totalprice END AS price FROM orders)
+SELECT o_orderkey,
+       CASE WHEN price NOT BETWEEN 2000 AND 400000 THEN 'rejected' WHEN price IS NULL THEN 'skipped' ELSE 'scored' END AS outcome,
+       CASE WHEN price NOT BETWEEN 2000 AND 400000 THEN 'price_range' ELSE '' END AS violations,
+       CASE WHEN price BETWEEN 2000 AND 400000 THEN CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS INTEGER) END AS prediction
+FROM o
+""",
+    "best_model_given": f"SELECT family, params, f1 FROM {GIVEN_SCORES} ORDER BY f1 DESC, family_rank, point LIMIT 1",
+    "best_params_given": f"""
+SELECT 'maxDepth' AS param, CAST(point AS DOUBLE) AS value FROM {GIVEN_SCORES} ORDER BY f1 DESC, family_rank, point LIMIT 1
+""",
+    "best_per_family_given": f"""
+SELECT * FROM {GIVEN_SCORES} QUALIFY row_number() OVER (PARTITION BY family ORDER BY f1 DESC, point) = 1
 """,
 }

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablewright import scratch
 from tablewright.catalog import inputs as src
 from tablewright.operators import clean, curves, drift, encode, impute, metrics, profile, quality, sampling, tuning
 from tablewright.operators.features import with_group_size, with_title
 from tablewright.operators.prefix import prefix_counts as running_counts
-from tablewright.operators.score import incomplete_rows, score
+from tablewright.operators.score import incomplete_rows, score, score_all
 from tablewright.plans.preprocess import derive
 from tablewright.plans.preprocess import feature_table as build_features
 from tablewright.sources import documents, models, runlog, tables
@@ -58,6 +59,15 @@ def append_batch(spark, folder):
     return spark.read.schema(first.schema).parquet(path)
 
 
+@query
+def append_rejects(spark, folder):
+    """Rows of a batch that a table of 32-bit amounts can't hold, with the columns that don't fit."""
+    batch = src.table(spark, folder, "events").select("event_id", "event_type", (F.col("event_id") * 1_000_003).alias("amount"))
+    return clean.misfit_rows(batch, StructType.fromDDL("event_id long, event_type int, amount int")).select(
+        "event_id", F.array_join("misfits", ",").alias("misfits")
+    )
+
+
 # ---- cleaning and features
 
 
@@ -150,7 +160,7 @@ def impute_group_mean_shuffled(spark, folder):
         F.expr("CASE WHEN l_orderkey % 3 = 0 THEN -1 WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_partkey END").alias("part"),
         src.gap("l_orderkey % 7 = 0", "l_quantity").alias("quantity"),
     )
-    filled = impute.fill_group_mean(lines, "part", "quantity", broadcast_bytes=0)
+    filled = impute.fill_group_mean(lines, "part", "quantity", broadcast_bytes=0, target_rows=5_000)
     return filled.select("l_orderkey", "l_extendedprice", "part", rounded("quantity").alias("quantity"))
 
 
@@ -494,19 +504,34 @@ def score_batch_rule(spark, folder):
     return scored.select("o_orderkey", "prediction", "prediction_label")
 
 
-_TUNED: dict[tuple[str, str], str] = {}
+@query
+def score_accounted(spark, folder):
+    """Every order by key: scored, rejected by a rule, or skipped for want of a number."""
+    orders = src.rule_training(spark, folder)
+    found = score_all(_rule_model(spark, folder), orders, src.RULE_FEATURES, [quality.Rule.between("price", 2000, 400000)])
+    return found.select("o_orderkey", "outcome", F.array_join("violations", ",").alias("violations"), "prediction")
 
 
 def _tuned(spark, folder):
-    """The tuning table of the orders; the queries that build on it share one stored result."""
-    known = (spark.sparkContext.applicationId, folder)
-    schema = tuning.TUNING_SCHEMA.replace("fold int, ", "")
-    if known not in _TUNED:
-        training, _ = _training_and_held_out(spark, folder)
-        path = scratch.new_path(spark, "tuning")
-        tuning.tuning_table(tuning.cross_validate(training, src.ORDER_TRAINING)).write.parquet(path)
-        _TUNED[known] = path
-    return spark.read.schema(schema).parquet(_TUNED[known])
+    """The tuning table of the orders."""
+    training, _ = _training_and_held_out(spark, folder)
+    return tuning.tuning_table(tuning.cross_validate(training, src.ORDER_TRAINING))
+
+
+@query
+def best_model_given(spark, folder):
+    """Selection over a table of uneven scores, as the tables of tuning have them."""
+    return tuning.best_model(src.given_scores(spark, folder))
+
+
+@query
+def best_params_given(spark, folder):
+    return tuning.best_params(tuning.best_model(src.given_scores(spark, folder)))
+
+
+@query
+def best_per_family_given(spark, folder):
+    return tuning.best_per_family(src.given_scores(spark, folder))
 
 
 @query

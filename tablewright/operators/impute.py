@@ -13,9 +13,10 @@ from tablewright.functions.columns import missing
 
 # Largest statistics table that is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A group with at least 1/HOT_SHARE of all rows is hot; there can be at most HOT_SHARE of them.
-HOT_SHARE = 500
-SPREAD = 1024
+# What a row of the hash table takes besides its values.
+ROW_BYTES = 48
+# A group with more rows than this is hot: its rows don't meet in one task.
+TARGET_ROWS = 1_000_000
 
 
 def group_means(df: DataFrame, group: str, value: str, nan_as_missing: bool = False) -> DataFrame:
@@ -66,6 +67,7 @@ def fill_group_mean(
     output: str | None = None,
     nan_as_missing: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """Fill nulls with the mean of the row's group, in one shot.
 
@@ -73,7 +75,7 @@ def fill_group_mean(
     The per-group table is computed once and joined according to its measured size.
     """
     stats = scratch.write_table(group_means(df, group, value, nan_as_missing), "group-means")
-    joined = join_group_stats(df, stats, group, [f"mean_{value}"], "n_rows", broadcast_bytes)
+    joined = join_group_stats(df, stats, group, [f"mean_{value}"], "n_rows", broadcast_bytes, target_rows)
     filled = F.when(missing(value, nan_as_missing), F.col(f"mean_{value}")).otherwise(F.col(value))
     return joined.withColumn(output or value, filled).drop(f"mean_{value}")
 
@@ -85,34 +87,41 @@ def join_group_stats(
     carried: Sequence[str],
     rows_column: str,
     broadcast_bytes: int = BROADCAST_BYTES,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """Left-join a stored per-group table onto its rows, whatever its size and however skewed the rows.
 
-    A small table is broadcast after its size was measured. Beyond that limit the hot groups,
-    at most HOT_SHARE by the way they are defined, are broadcast on their own, and rows of hot or
-    null groups leave the shuffle key: they are spread over SPREAD keys that match nothing, so no
-    partition receives more than a cold group's share.
+    A small table is broadcast after its size was measured. Beyond that limit the groups of more
+    than ``target_rows`` rows are broadcast on their own, and rows of hot or null groups leave the
+    shuffle key: every input partition gets a key of its own for them that matches nothing, so a
+    task receives at most cold groups and what input partitions hold. The hot groups are at most
+    the rows over ``target_rows``; should they still be larger than BROADCAST_BYTES, the smaller
+    ones among them are shuffled.
     """
     stats = stats.where(F.col(group).isNotNull()).select(group, *carried, rows_column)
-    size = stats.agg(
-        F.coalesce(F.sum(F.octet_length(F.col(group).cast("string")) + 16 * (1 + len(carried))), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum(rows_column), F.lit(0)).alias("rows"),
-    ).first()
-    if size["bytes"] <= broadcast_bytes:
+    # By powers of two of the group's size: at most 64 rows.
+    own_bytes = F.octet_length(F.col(group).cast("string")) + 16 * (1 + len(carried)) + ROW_BYTES
+    levels = stats.groupBy(F.floor(F.log2(F.greatest(rows_column, F.lit(1)))).alias("level")).agg(F.sum(own_bytes).alias("bytes"))
+    by_level = {r["level"]: r["bytes"] for r in levels.collect()}
+    if sum(by_level.values()) <= broadcast_bytes:
         return df.join(F.broadcast(stats.drop(rows_column)), group, "left")
+    limit, total = target_rows, 0
+    for level in sorted((n for n in by_level if 2 ** (n + 1) > target_rows), reverse=True):
+        total += by_level[level]
+        if total > BROADCAST_BYTES:
+            limit = max(target_rows, 2 ** (level + 1) - 1)
+            break
 
     hot_names = {c: f"_hot_{c}" for c in carried}
-    is_hot = F.col(rows_column) * HOT_SHARE >= size["rows"]
+    is_hot = F.col(rows_column) > limit
     hot = stats.where(is_hot).select(
         group, *[F.col(c).alias(h) for c, h in hot_names.items()], F.lit(True).alias("_hot")
     )
     # Always 0, but read from a column: Catalyst would fold a literal and drop the key from the shuffle.
     zero = F.pmod(F.col(rows_column), F.lit(1)).cast("int")
-    cold = stats.where(~is_hot).withColumn("_spread", zero).drop(rows_column)
+    cold = stats.where(~is_hot).withColumn("_spread", zero).drop(rows_column).hint("merge")
     # The salt is the number of the input partition: the same on every retry of a task.
-    salt = F.when(
-        F.col("_hot").isNotNull() | F.col(group).isNull(), F.pmod(F.spark_partition_id(), F.lit(SPREAD)) + 1
-    ).otherwise(F.lit(0))
+    salt = F.when(F.col("_hot").isNotNull() | F.col(group).isNull(), F.spark_partition_id() + 1).otherwise(F.lit(0))
     joined = df.join(F.broadcast(hot), group, "left").withColumn("_spread", salt).join(cold, [group, "_spread"], "left")
     return joined.withColumns({c: F.coalesce(h, c) for c, h in hot_names.items()}).drop(
         "_spread", "_hot", *hot_names.values()

@@ -76,7 +76,8 @@ def running_counts(long: DataFrame, weights: Sequence[str], rows_per_bucket: int
             *[F.sum(w).over(of_feature).alias(f"{w}_total") for w in weights],
         )
     )
-    return running.join(F.broadcast(offsets), ["feature", "bucket"]).select(
+    # Both sides are partitioned by feature and bucket; Spark broadcasts the offsets only where their size allows it.
+    return running.join(offsets, ["feature", "bucket"]).select(
         "feature",
         "value",
         *weights,
@@ -98,14 +99,17 @@ def _cut_points(long: DataFrame, rows_per_bucket: int) -> dict[str, list[float]]
     if not large:
         return {}
     most = max(buckets.values())
-    fraction = min(1.0, most * DRAWS_PER_BUCKET / min(present[f] for f in large))
-    drawn = long.where(F.col("feature").isin(large)).select("feature", "value")
-    if fraction < 1.0:
-        drawn = drawn.sample(fraction=fraction, seed=7)
+    # Every feature has its own fraction, so a small one doesn't make a large one be read whole.
+    fraction = F.create_map(*[F.lit(x) for f in large for x in (f, min(1.0, buckets[f] * DRAWS_PER_BUCKET / present[f]))])
+    drawn = long.where(F.col("feature").isin(large)).select("feature", "value").where(F.rand(7) < fraction[F.col("feature")])
     quantiles = drawn.groupBy("feature").agg(
         F.percentile_approx("value", [i / most for i in range(1, most)], max(10_000, 10 * most)).alias("cuts")
     )
-    cuts = {r["feature"]: sorted({v for v in r["cuts"] if math.isfinite(v)}) for r in quantiles.collect()}
+    # Of the quantiles as many as the feature has buckets.
+    cuts = {}
+    for r in quantiles.collect():
+        own = [r["cuts"][round(i * most / buckets[r["feature"]]) - 1] for i in range(1, buckets[r["feature"]])]
+        cuts[r["feature"]] = sorted({v for v in own if math.isfinite(v)})
     return {f: c for f, c in cuts.items() if c}
 
 

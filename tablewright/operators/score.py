@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import decode_label, missing, positive_probability
 from tablewright.operators.encode import FeatureSpec
+from tablewright.operators.quality import Rule, with_violations
 
 # Fixed value: decimals of a reported probability.
 PROBABILITY_PLACES = 4
@@ -29,6 +32,30 @@ def score(
     )
 
 
+def score_all(
+    model: PipelineModel,
+    df: DataFrame,
+    spec: FeatureSpec,
+    rules: Sequence[Rule] = (),
+    positive: str = "positive",
+    negative: str = "negative",
+) -> DataFrame:
+    """Every input row with its ``outcome`` and, if it was scored, what ``score`` adds.
+
+    ``rejected`` rows break a rule, named in ``violations``, and are not given to the model; ``skipped`` rows lack a
+    number that the model needs. No row is lost, and none needs a shuffle.
+    """
+    checked = with_violations(df, rules)
+    valid = checked.where(F.size("violations") == 0)
+    outcomes = {
+        "scored": score(model, valid, positive, negative),
+        "rejected": checked.where(F.size("violations") > 0),
+        "skipped": incomplete_rows(valid, spec),
+    }
+    parts = [rows.withColumn("outcome", F.lit(name)) for name, rows in outcomes.items()]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+
+
 def incomplete_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Input rows that get no prediction: the assembler skips a row with a null or NaN number.
 

@@ -47,7 +47,7 @@ def append_batch(batch: DataFrame, path: str, schema: StructType | None = None)
     """Append a batch to a Parquet table by column name.
 
     ``schema`` is the table's; left out, it is read from the table. Columns are brought into the
-    table's order and types, missing ones become null, unknown ones are an error.
+    table's order and types, missing ones become null; unknown columns and values that don't fit are errors.
     """
     target = schema or batch.sparkSession.read.parquet(path).schema
     align_to(batch, target).write.mode("append").parquet(path)

@@ -4,7 +4,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import decode_label, positive_probability, tolerant_double
-from tablewright.operators.clean import align_to, cast_numeric, labelled, union_by_name, unlabelled
+from tablewright.operators.clean import align_to, cast_numeric, labelled, misfit_rows, union_by_name, unlabelled
 from tablewright.operators.features import with_group_size, with_title
 
 # The two example passengers.
@@ -61,8 +61,12 @@ def test_align_orders_casts_and_rejects_unknown(spark):
 
     target = spark.createDataFrame([], "id bigint, v double, s string").schema
     batch = spark.createDataFrame([("x", "7"), ("y", "bad")], "s string, id string")
-    out = align_to(batch, target)
+    out = align_to(batch, target, misfits="null")
     assert out.schema.simpleString() == target.simpleString()
     assert [tuple(r) for r in out.collect()] == [(7, None, "x"), (None, None, "y")]
+    with pytest.raises(Exception, match="does not fit column id: bad"):
+        align_to(batch, target).collect()
+    assert [tuple(r) for r in align_to(batch.where("id = '7'"), target).collect()] == [(7, None, "x")]
+    assert [tuple(r) for r in misfit_rows(batch, target).collect()] == [("y", "bad", ["id"])]
     with pytest.raises(ValueError, match="extra"):
         align_to(batch.withColumn("extra", F.lit(1)), target)

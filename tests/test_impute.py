@@ -105,7 +105,7 @@ def test_skewed_join_beyond_the_broadcast_limit(spark, rows):
     small = join_group_stats(df, stats, "g", ["mean_v"], "n_rows")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = join_group_stats(df, stats, "g", ["mean_v"], "n_rows", broadcast_bytes=0)
+        large = join_group_stats(df, stats, "g", ["mean_v"], "n_rows", broadcast_bytes=0, target_rows=5_000)
         assert large.columns == small.columns
         assert large.count() == 30_000
         assert large.exceptAll(small).isEmpty() and small.exceptAll(large).isEmpty()

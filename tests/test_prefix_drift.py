@@ -19,7 +19,7 @@ from tablewright.operators.drift import (
     ks_drift,
     retrain_gate,
 )
-from tablewright.operators.prefix import prefix_counts
+from tablewright.operators.prefix import _cut_points, long_values, prefix_counts
 
 NAN = float("nan")
 
@@ -206,3 +206,11 @@ def test_no_shared_feature_is_an_error(spark, passengers):
 def test_gate(spark, drift, exists, action):
     verdict = spark.createDataFrame([(drift,)], "drift_detected boolean")
     assert retrain_gate(verdict, exists).first()["action"] == action
+
+
+def test_features_of_uneven_size_have_their_own_buckets(spark):
+    df = spark.range(20_000).select(F.col("id").cast("double").alias("large"), F.expr("CASE WHEN id < 300 THEN CAST(id AS DOUBLE) END").alias("small"))
+    cuts = _cut_points(long_values(df, ["large", "small"], {"n": F.lit(1)}), 100)
+    assert 150 < len(cuts["large"]) <= 199 and len(cuts["small"]) == 2
+    got = prefix_counts(df, ["large", "small"], {"n": F.lit(1)}, 100)
+    assert got.count() == 20_300 and got.where("n_upto <> value + 1 OR n_total <> if(feature = 'large', 20000, 300)").isEmpty()
