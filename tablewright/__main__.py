@@ -17,7 +17,7 @@ from tablewright.operators.clean import cast_numeric
 from tablewright.operators.impute import FillModel
 from tablewright.operators.profile import numeric_profile, write_profile
 from tablewright.plans.preprocess import create_baseline, preprocess, read_split
-from tablewright.plans.score import score_raw
+from tablewright.plans.score import score_raw_all
 from tablewright.plans.train import train
 from tablewright.plans.validate import decide, validate
 from tablewright.sources.models import load_model
@@ -64,15 +64,17 @@ def main(arguments: list[str] | None = None) -> None:
                 )
     elif args.command == "score":
         fills = FillModel.load(spark, f"{args.data_path}/fills", presets.TABLE.fills)
-        scored = score_raw(
+        found = score_raw_all(
             read_csv(spark, args.input, presets.RAW_TEST_SCHEMA),
             presets.TABLE,
+            presets.FEATURES,
             fills,
             load_model(args.model),
+            presets.request_rules(required=False),
             presets.POSITIVE_LABEL,
             presets.NEGATIVE_LABEL,
         )
-        write_parquet(scored, args.output)
+        write_parquet(found, args.output, ["outcome"])
     elif args.command == "profile":
         raw = cast_numeric(read_csv(spark, args.input, presets.RAW_SCHEMA), presets.NUMERIC_RAW)
         write_profile(numeric_profile(raw, presets.PROFILED), args.output)

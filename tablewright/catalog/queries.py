@@ -266,7 +266,7 @@ def drift_chi2(spark, folder):
 
 @query
 def drift_chi2_yates(spark, folder):
-    return _chi2(spark, folder, ["price_class"]).drop("p_value")
+    return _chi2(spark, folder, ["price_class"])
 
 
 def _ks(spark, folder, **options):
@@ -309,6 +309,17 @@ def retrain_gate(spark, folder):
     return drift.retrain_gate(drift.drift_verdict(_report(spark, folder)), exists)
 
 
+@query
+def retrain_gate_skip(spark, folder):
+    """The decision for a table without drift and a path that holds a model."""
+    training, _ = _rule_parts(spark, folder)
+    path = scratch.new_path(spark, "model")
+    models.save_model(tuning.fit_family(training, src.RULE_TRAINING, "LogisticRegression", regParam=0.01), path)
+    rows = src.events(spark, folder)
+    report = drift.drift_report(rows, rows, ["v", "user_id"], ["event_type"])
+    return drift.retrain_gate(drift.drift_verdict(report), models.model_exists(spark, path))
+
+
 # ---- evaluation
 
 
@@ -652,7 +663,7 @@ def stream_drift(spark, folder):
         scratch.new_path(spark, n) for n in ("arriving", "stored", "reports", "decisions", "progress")
     )
     counts = drift.StoredBaseline.build(baseline, ["v", "user_id"], ["event_type"])
-    handler = drift_stream.batch_handler(counts, stored, reports, decisions, rows.schema)
+    handler = drift_stream.batch_handler(counts, stored, reports, decisions, rows.schema, lambda: False)
     for batch in batches:
         batch.write.mode("append").parquet(arriving)
         drift_stream.stream_drift(spark, arriving, rows.schema, handler, progress).awaitTermination()

@@ -1,8 +1,8 @@
 """Running counts over values in global order, the base of the drift test and the curves.
 
 A window without partitions would sort the whole table in one task. Here equal values are first
-counted together, the value range is cut into buckets, running counts are formed inside each bucket,
-and each bucket starts from the total of the buckets below it.
+counted together, the counts are dealt by range into buckets, running counts are formed inside each
+bucket, and each bucket starts from the total of the buckets below it.
 """
 
 from __future__ import annotations
@@ -10,16 +10,14 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright import scratch
 from tablewright.functions.columns import without_negative_zero
 
+# Distinct values that one task orders.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 50_000
-# Values drawn per bucket to place the cut points. It decides how even the buckets are, not the result.
-DRAWS_PER_BUCKET = 50
 
 
 def prefix_counts(
@@ -53,22 +51,23 @@ def long_values(df: DataFrame, values: Sequence[str], weights: Mapping[str, Colu
 
 
 def running_counts(long: DataFrame, weights: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``prefix_counts`` of rows that are already in the form of ``long_values``; they may be pre-counted."""
-    cuts = _cut_points(long, rows_per_bucket)
-    counted = (
-        _with_bucket(long, cuts).groupBy("feature", "bucket", "value").agg(*[F.sum(w).alias(w) for w in weights])
-    )
+    """``prefix_counts`` of rows that are already in the form of ``long_values``; they may be pre-counted.
+
+    The input is read once. A bucket holds about ``rows_per_bucket`` distinct values, of however many features.
+    """
+    sums = [F.sum(w).alias(w) for w in weights]
+    placed, buckets = _in_buckets(long.groupBy("feature", "value").agg(*sums), rows_per_bucket)
     inside = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    running = counted.withColumns({f"{w}_upto": F.sum(w).over(inside) for w in weights})
-    if not cuts:
+    running = placed.withColumns({f"{w}_upto": F.sum(w).over(inside) for w in weights})
+    if buckets == 1:
         whole = Window.partitionBy("feature", "bucket")
         return running.withColumns({f"{w}_total": F.sum(w).over(whole) for w in weights}).drop("bucket")
-    # One row per feature and bucket, so its size is bounded by MAX_BUCKETS per feature.
+    # One row per feature and bucket of ``rows_per_bucket`` values.
     below = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     of_feature = Window.partitionBy("feature")
     offsets = (
-        counted.groupBy("feature", "bucket")
-        .agg(*[F.sum(w).alias(w) for w in weights])
+        placed.groupBy("feature", "bucket")
+        .agg(*sums)
         .select(
             "feature",
             "bucket",
@@ -76,8 +75,8 @@ def running_counts(long: DataFrame, weights: Sequence[str], rows_per_bucket: int
             *[F.sum(w).over(of_feature).alias(f"{w}_total") for w in weights],
         )
     )
-    # Both sides are partitioned by feature and bucket; Spark broadcasts the offsets only where their size allows it.
-    return running.join(offsets, ["feature", "bucket"]).select(
+    # The window has partitioned and ordered the running side as a merge needs it; only the offsets move.
+    return running.join(offsets.hint("merge"), ["feature", "bucket"]).select(
         "feature",
         "value",
         *weights,
@@ -86,47 +85,14 @@ def running_counts(long: DataFrame, weights: Sequence[str], rows_per_bucket: int
     )
 
 
-def _cut_points(long: DataFrame, rows_per_bucket: int) -> dict[str, list[float]]:
-    """Strictly increasing inner cut points per feature that needs more than one bucket.
+def _in_buckets(counted: DataFrame, rows_per_bucket: int) -> tuple[DataFrame, int]:
+    """Distinct values with the number of their bucket, ascending with the value, and how many buckets there are.
 
-    The cut points are literals of the following plan, so a value's bucket never changes when a
-    task is retried, and equal values always share one.
+    Each step is a stored table, so a value's bucket never changes when a task is retried.
     """
-    # One row per feature.
-    present = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    buckets = {f: min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)) for f, n in present.items()}
-    large = [f for f in present if buckets[f] > 1]
-    if not large:
-        return {}
-    most = max(buckets.values())
-    # Every feature has its own fraction, so a small one doesn't make a large one be read whole.
-    fraction = F.create_map(*[F.lit(x) for f in large for x in (f, min(1.0, buckets[f] * DRAWS_PER_BUCKET / present[f]))])
-    drawn = long.where(F.col("feature").isin(large)).select("feature", "value").where(F.rand(7) < fraction[F.col("feature")])
-    quantiles = drawn.groupBy("feature").agg(
-        F.percentile_approx("value", [i / most for i in range(1, most)], max(10_000, 10 * most)).alias("cuts")
-    )
-    # Of the quantiles as many as the feature has buckets.
-    cuts = {}
-    for r in quantiles.collect():
-        own = [r["cuts"][round(i * most / buckets[r["feature"]]) - 1] for i in range(1, buckets[r["feature"]])]
-        cuts[r["feature"]] = sorted({v for v in own if math.isfinite(v)})
-    return {f: c for f, c in cuts.items() if c}
-
-
-def _with_bucket(long: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
-    """Add the number of the bucket; features without cut points have one bucket."""
-    if not cuts:
-        return long.withColumn("bucket", F.lit(0))
-    features = list(cuts)
-    own_value = {f"_v{i}": F.when(F.col("feature") == f, F.col("value")) for i, f in enumerate(features)}
-    placed = Bucketizer(
-        inputCols=list(own_value),
-        outputCols=[f"_b{i}" for i in range(len(features))],
-        splitsArray=[[-math.inf, *cuts[f], math.inf] for f in features],
-        handleInvalid="keep",
-    ).transform(long.withColumns(own_value))
-    bucket = F.lit(0)
-    for i, f in enumerate(features):
-        bucket = F.when(F.col("feature") == f, F.col(f"_b{i}").cast("int")).otherwise(bucket)
-    # Never null, so that no filter is inferred on one side of the later join and its shuffle is reused.
-    return placed.select(*long.columns, F.coalesce(bucket, F.lit(0)).alias("bucket"))
+    counted = scratch.write_table(counted, "value-counts")
+    buckets = max(1, math.ceil(counted.count() / rows_per_bucket))
+    if buckets == 1:
+        return counted.withColumn("bucket", F.lit(0)), 1
+    dealt = counted.repartitionByRange(buckets, "feature", "value").withColumn("bucket", F.spark_partition_id())
+    return scratch.write_table(dealt, "value-buckets"), buckets

@@ -86,29 +86,35 @@ def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
 
     Per fold the feature stages are fitted once, on the fold's training rows, and shared by all
     grid points; a cross validator around the whole pipeline would fit them again for each point.
-    The feature vectors of a fold are persisted while its models are fitted, several at a time.
+    The rows are laid out once; the feature vectors of all folds are made before the models are fitted, several at a
+    time over all folds and points.
     """
-    folded = with_fold(spread(df, spec.key, spec.parts), spec.key, spec.folds)
+    folded = with_fold(spread(df, spec.key, spec.parts), spec.key, spec.folds).persist()
     evaluator = MulticlassClassificationEvaluator(labelCol=spec.label, predictionCol="prediction", metricName="f1")
-    rows: list[tuple] = []
-    for fold in range(spec.folds):
-        training = folded.where(F.col("fold") != fold)
-        encode = fit_features(training, spec.features)
-        columns = [spec.label, spec.features.output]
-        inside = encode.transform(training).select(*columns).persist()
-        outside = encode.transform(folded.where(F.col("fold") == fold)).select(*columns).persist()
-
-        def score(task, inside=inside, outside=outside, fold=fold):
-            rank, family, point, chosen = task
-            model = classifier(family, spec.label, spec.features.output, **chosen).fit(inside)
-            return family, rank, point, json.dumps(chosen), fold, float(evaluator.evaluate(model.transform(outside)))
-
-        try:
-            with ThreadPool(spec.parallelism) as pool:
-                rows += pool.map(score, _grid_points(spec), chunksize=1)
-        finally:
-            inside.unpersist()
-            outside.unpersist()
+    columns = [spec.label, spec.features.output]
+    held = [folded]
+
+    def stored(part: DataFrame) -> DataFrame:
+        held.append(part.select(*columns).persist())
+        held[-1].count()
+        return held[-1]
+
+    def score(task):
+        (rank, family, point, chosen), (fold, inside, outside) = task
+        model = classifier(family, spec.label, spec.features.output, **chosen).fit(inside)
+        return family, rank, point, json.dumps(chosen), fold, float(evaluator.evaluate(model.transform(outside)))
+
+    try:
+        folds = []
+        for fold in range(spec.folds):
+            training = folded.where(F.col("fold") != fold)
+            encode = fit_features(training, spec.features)
+            folds.append((fold, stored(encode.transform(training)), stored(encode.transform(folded.where(F.col("fold") == fold)))))
+        with ThreadPool(spec.parallelism) as pool:
+            rows = pool.map(score, [(point, fold) for point in _grid_points(spec) for fold in folds], chunksize=1)
+    finally:
+        for part in held:
+            part.unpersist()
     return df.sparkSession.createDataFrame(rows, TUNING_SCHEMA)
 
 

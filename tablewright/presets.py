@@ -49,12 +49,13 @@ FEATURES = FeatureSpec(numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURE
 TRAINING = TrainingSpec(features=FEATURES, label=LABEL, key=KEY)
 
 
-def request_rules(ranges: dict = REQUEST_RANGES, domains: bool = True) -> list[Rule]:
-    """Rules for rows to be scored: required fields, ranges and, if wanted, domains.
+def request_rules(ranges: dict = REQUEST_RANGES, domains: bool = True, required: bool = True) -> list[Rule]:
+    """Rules for rows to be scored: ranges and, if wanted, required fields (tables have theirs filled) and domains.
 
     A function, because a rule holds a column and a column needs a running session.
     """
-    rules = [Rule.required(c) for c in REQUIRED] + [Rule.between(c, low, high) for c, (low, high) in ranges.items()]
+    rules = [Rule.required(c) for c in REQUIRED if required]
+    rules += [Rule.between(c, low, high) for c, (low, high) in ranges.items()]
     if domains:
         rules += [Rule.one_of(c, allowed) for c, allowed in DOMAINS.items()]
     return rules

@@ -19,7 +19,7 @@ def batch_handler(
     report_path: str,
     decision_path: str,
     table_schema: StructType,
-    model_exists: Callable[[], bool] = lambda: True,
+    model_exists: Callable[[], bool],
     alpha: float = ALPHA,
     method: str = "corrected",
 ) -> Callable[[DataFrame, int], None]:
@@ -56,9 +56,10 @@ def stream_drift(
     checkpoint_path: str,
     input_format: str = "parquet",
     trigger: dict | None = None,
+    max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
-    """Run the handler on every micro-batch of arriving files."""
-    source = spark.readStream.schema(schema)
+    """Run the handler on every micro-batch of arriving files; a backlog comes in batches of ``max_files_per_trigger``."""
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     if input_format == "csv":
         source = source.option("header", True)
     return (

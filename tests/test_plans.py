@@ -153,7 +153,7 @@ def test_command_line(spark, raw, tmp_path, monkeypatch, capsys):
     monkeypatch.setattr(presets, "TRAINING", SMALL)
     at = {n: str(tmp_path / n) for n in ("train", "test", "data", "base", "status", "model", "reports", "scored", "profile")}
     write_csv(raw[0], at["train"])
-    write_csv(raw[1], at["test"])
+    write_csv(raw[1].withColumn("Sex", F.expr("IF(PassengerId = 601, 'other', Sex)")), at["test"])
     cli.main(["preprocess", "--train_input", at["train"], "--test_input", at["test"], "--output_path", at["data"], "--baseline_path", at["base"]])
     cli.main(["validate", "--data_path", at["data"], "--baseline_path", at["base"], "--status_path", at["status"]])
     arguments = ["train", "--data_path", at["data"], "--status_path", at["status"], "--model_out", at["model"], "--report_path", at["reports"]]
@@ -162,7 +162,9 @@ def test_command_line(spark, raw, tmp_path, monkeypatch, capsys):
     cli.main(arguments)
     assert "skip: no drift" in capsys.readouterr().out
     cli.main(["score", "--input", at["test"], "--data_path", at["data"], "--model", at["model"], "--output", at["scored"]])
-    assert spark.read.parquet(at["scored"]).count() == 200
+    found = spark.read.parquet(at["scored"])
+    assert found.count() == 200 and found.where("outcome = 'scored' AND prediction IS NOT NULL").count() == 199
+    assert [tuple(r) for r in found.where("outcome <> 'scored'").select("PassengerId", "outcome", "violations").collect()] == [(601, "rejected", ["Sex_domain"])]
     cli.main(["profile", "--input", at["train"], "--output", at["profile"]])
     assert spark.read.json(at["profile"]).count() == 3
 
@@ -187,7 +189,7 @@ def test_replayed_batch_leaves_one_copy(spark, tmp_path):
     baseline = spark.range(300).selectExpr("id", "CAST(id % 50 AS DOUBLE) AS x", "CAST(id % 3 AS STRING) AS c")
     stored = StoredBaseline.build(baseline, ["x"], ["c"])
     paths = [str(tmp_path / n) for n in ("table", "reports", "decisions")]
-    handle = batch_handler(stored, *paths, baseline.schema)
+    handle = batch_handler(stored, *paths, baseline.schema, lambda: True)
     same, shifted = baseline.limit(200), baseline.withColumn("x", F.col("x") + 30)
     for batch, number in ((same, 0), (shifted, 1), (shifted, 1), (same.limit(0), 2)):
         handle(batch, number)
@@ -201,7 +203,7 @@ def test_stream_of_batches(spark, tmp_path):
     baseline = spark.range(300).selectExpr("id", "CAST(id % 50 AS DOUBLE) AS x", "CAST(id % 3 AS STRING) AS c")
     stored = StoredBaseline.build(baseline, ["x"], ["c"])
     paths = [str(tmp_path / n) for n in ("table", "reports", "decisions")]
-    handle = batch_handler(stored, *paths, baseline.schema)
+    handle = batch_handler(stored, *paths, baseline.schema, lambda: True)
     arriving, progress = str(tmp_path / "arriving"), str(tmp_path / "progress")
     for shift in (0, 30):
         baseline.withColumn("x", F.col("x") + shift).write.mode("append").parquet(arriving)

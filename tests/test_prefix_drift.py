@@ -19,7 +19,7 @@ from tablewright.operators.drift import (
     ks_drift,
     retrain_gate,
 )
-from tablewright.operators.prefix import _cut_points, long_values, prefix_counts
+from tablewright.operators.prefix import _in_buckets, long_values, prefix_counts
 
 NAN = float("nan")
 
@@ -208,9 +208,12 @@ def test_gate(spark, drift, exists, action):
     assert retrain_gate(verdict, exists).first()["action"] == action
 
 
-def test_features_of_uneven_size_have_their_own_buckets(spark):
+def test_features_of_uneven_size_share_even_buckets(spark):
     df = spark.range(20_000).select(F.col("id").cast("double").alias("large"), F.expr("CASE WHEN id < 300 THEN CAST(id AS DOUBLE) END").alias("small"))
-    cuts = _cut_points(long_values(df, ["large", "small"], {"n": F.lit(1)}), 100)
-    assert 150 < len(cuts["large"]) <= 199 and len(cuts["small"]) == 2
-    got = prefix_counts(df, ["large", "small"], {"n": F.lit(1)}, 100)
+    placed, buckets = _in_buckets(long_values(df, ["large", "small"], {"n": F.lit(1)}).select("feature", "value", "n"), 1_000)
+    sizes = {r["bucket"]: r["count"] for r in placed.groupBy("bucket").count().collect()}
+    assert buckets == 21 and len(sizes) == 21 and max(sizes.values()) < 2_000
+    got = prefix_counts(df, ["large", "small"], {"n": F.lit(1)}, 1_000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "value-counts" not in plan
     assert got.count() == 20_300 and got.where("n_upto <> value + 1 OR n_total <> if(feature = 'large', 20000, 300)").isEmpty()
