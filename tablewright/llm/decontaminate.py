@@ -21,8 +21,8 @@ class Decontamination:
     """Passages are windows of ``windows`` blocks of ``block`` words, one starting at every block.
 
     A passage is a candidate for an item if the cosine of their TF-IDF vectors, both projected to the latent space of
-    ``rank`` dimensions, reaches ``cosine``, and the items' words have at least ``weight`` of its squared TF-IDF weights: the
-    projection alone can't tell a passage of other, unknown words. The passage, widened by a block on each side, is a leak if the longest common subsequence of words
+    ``rank`` dimensions, reaches ``cosine``. The projection can't tell words that no item has; they count for nothing, however
+    many there are. The passage, widened by a block on each side, is a leak if the longest common subsequence of words
     is at least ``common`` of the item, and at least ``answer`` of the item's answer: its last sentence, or its last
     quarter if it has one sentence. Items under ``least`` words are not searched for.
     """
@@ -31,11 +31,9 @@ class Decontamination:
     windows: tuple[int, ...] = (1, 2, 4)
     rank: int = 128
     cosine: float = 0.5
-    weight: float = 0.25
     common: float = 0.6
     answer: float = 0.5
     least: int = 5
-    item_block: int = 1024
 
 
 @dataclass(frozen=True)
@@ -119,8 +117,8 @@ def _sum_rows(partials: DataFrame, width: int) -> np.ndarray:
 _ROWS_TOGETHER = 64
 
 
-def latent_space(source: DataFrame, items: _Items, spec: Decontamination) -> tuple[np.ndarray, float, np.ndarray]:
-    """IDF weights of the vocabulary, the weight of other words, and the leading right singular vectors of all passages.
+def latent_space(source: DataFrame, items: _Items, spec: Decontamination) -> tuple[np.ndarray, np.ndarray]:
+    """IDF weights of the vocabulary, and the leading right singular vectors of all passages.
 
     The passages are all blocks of the corpus, as TF-IDF vectors of length one over the items' words. One pass counts the
     texts that hold each word. A second one multiplies the passages' Gram matrix by a random matrix: each task adds up its own
@@ -186,7 +184,7 @@ def latent_space(source: DataFrame, items: _Items, spec: Decontamination) -> tup
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     good = values > max(values.max(initial=0), 1e-12) * 1e-9
     left, _, _ = np.linalg.svd(sketch @ vectors[:, good] / np.sqrt(values[good]), full_matrices=False)
-    return idf, other, left
+    return idf, left
 
 
 def _subsequence(item: list[int], passage: list[int]) -> list[bool]:
@@ -216,79 +214,116 @@ def _subsequence(item: list[int], passage: list[int]) -> list[bool]:
     return used
 
 
-def _search(column: pa.Array, items: _Items, project: np.ndarray, queries: np.ndarray, weights: np.ndarray, other: float, spec: Decontamination) -> dict[tuple[int, int], tuple]:
+#: Blocks whose windows are compared at a time, and about how many cells their table of words may have.
+_BLOCKS_TOGETHER, _MOST_CELLS = 4096, 1 << 25
+
+
+@dataclass(frozen=True)
+class _Filter:
+    """Bounds for the search that lose no leak, at any counts of texts.
+
+    ``words`` and ``times`` are each item's distinct words and their counts, the rarest first. ``rare`` are its rarest words
+    (each as often as the item has it), one item after the other from ``starts`` on: more than a leak may lack, so that a
+    passage needs at least ``needed`` of them.
+    """
+
+    lengths: np.ndarray
+    words: list[np.ndarray]
+    times: list[np.ndarray]
+    rare: np.ndarray
+    starts: np.ndarray
+    needed: list[int]
+
+
+def _filter(items: _Items, idf: np.ndarray, spec: Decontamination) -> _Filter:
+    words, times, rare, needed = [], [], [], []
+    for tokens in items.tokens:
+        own, n = np.unique(tokens, return_counts=True)
+        order = np.argsort(-idf[own], kind="stable")
+        own, n = own[order], n[order]
+        lacks = int(len(tokens) - spec.common * len(tokens) + 1e-9)
+        rare.append(np.repeat(own, n)[: lacks + 1 + len(tokens) // 5])
+        needed.append(len(rare[-1]) - lacks)
+        words.append(own)
+        times.append(n)
+    starts = np.concatenate(([0], np.cumsum([len(r) for r in rare])))
+    return _Filter(np.array([len(t) for t in items.tokens]), words, times, np.concatenate(rare), starts, needed)
+
+
+def _search(column: pa.Array, items: _Items, project: np.ndarray, queries: np.ndarray, keep: _Filter, spec: Decontamination) -> dict[tuple[int, int], tuple]:
     """The leaks in a column of texts: of a row and an item's number the best (common, answer, cosine)."""
     numbers, bounds = _numbers(column, items.vocabulary)
     first, block_bounds = _blocks(bounds, spec.block)
     best: dict[tuple[int, int], tuple] = {}
-    if not len(first):
-        return best
-    mass = np.concatenate(([0], np.cumsum(np.append(weights, 0)[numbers])))
     known = np.concatenate(([0], np.cumsum(numbers >= 0)))
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(block_bounds))
-    text_start, text_end = bounds[owner], bounds[owner + 1]
-    lengths = np.array([len(t) for t in items.tokens])
-    distinct = [np.unique(t, return_counts=True) for t in items.tokens]
-    for n in spec.windows:
-        end = np.minimum(first + n * spec.block, text_end)
-        # A shorter rest of a text is a window of fewer blocks already, but for its only one.
-        use = end - first > (n - 1) * spec.block
-        inside = mass[end] - mass[first]
-        all_of = inside + other**2 * (end - first - known[end] + known[first])
-        wide_from, wide_to = np.maximum(first - spec.block, text_start), np.minimum(end + spec.block, text_end)
-        # No common subsequence is longer than the known words around.
-        use &= known[wide_to] - known[wide_from] >= spec.common * lengths.min()
-        picked = np.flatnonzero(use & (inside >= spec.weight * all_of))
-        for at in range(0, len(picked), 4096):
-            part = picked[at : at + 4096]
-            sizes = end[part] - first[part]
-            start = np.concatenate(([0], np.cumsum(sizes)))
-            words = np.repeat(first[part] - start[:-1], sizes) + np.arange(start[-1])
-            word, row = numbers[words], np.repeat(np.arange(len(part)), sizes)
-            row, word = row[word >= 0], word[word >= 0]
-            begin = np.flatnonzero(np.diff(row, prepend=-1))
-            vectors = np.zeros((len(part), project.shape[1]), dtype=np.float32)
-            if len(begin):
-                vectors[row[begin]] = np.add.reduceat(project[word], begin, axis=0)
-            vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-            room = known[wide_to[part]] - known[wide_from[part]]
-            for base in range(0, len(queries), spec.item_block):
-                near = vectors @ queries[base : base + spec.item_block].T
-                near[room[:, None] < spec.common * lengths[None, base : base + spec.item_block]] = -1
-                rows, found = np.nonzero(near >= spec.cosine)
-                last, have = -1, None
-                for i, j in zip(rows.tolist(), found.tolist()):
-                    if i != last:
-                        if have is not None:
-                            have[passage] = False
-                        else:
-                            have = np.zeros(len(items.vocabulary) + 1, dtype=bool)
-                        passage = numbers[wide_from[part[i]] : wide_to[part[i]]]
-                        have[passage] = True
-                        have[-1] = False
-                        last = i
-                    item = base + j
-                    # Nor than the words that both have.
-                    own, times = distinct[item]
-                    if times[have[own]].sum() < spec.common * lengths[item]:
+    edges = np.append(first, len(numbers))
+    together = max(256, min(_BLOCKS_TOGETHER, _MOST_CELLS // len(items.vocabulary)))
+    for base in range(0, len(first), together):
+        stop = min(base + together, len(first))
+        low, high = max(0, base - 1), min(stop + max(spec.windows), len(first))
+        word = numbers[edges[low] : edges[high]]
+        block = np.repeat(np.arange(high - low), np.diff(edges[low : high + 1]))[word >= 0]
+        held, word = np.unique(word[word >= 0], return_inverse=True)
+        # A table of the words that the blocks hold, with an empty line for all others.
+        table = np.zeros((len(held) + 1, high - low), dtype=bool)
+        table[word, block] = True
+        line = np.full(len(items.vocabulary), len(held))
+        line[held] = np.arange(len(held))
+        alive = np.flatnonzero(np.logical_or.reduceat(line[keep.rare] < len(held), keep.starts[:-1]))
+        own = np.arange(base, stop)
+        windows = []
+        for n in spec.windows:
+            begin, last = block_bounds[owner[own]], block_bounds[owner[own] + 1]
+            end = np.minimum(own + n, last)
+            wide_from, wide_to = np.maximum(own - 1, begin), np.minimum(end + 1, last)
+            # No common subsequence is longer than the known words around. A shorter rest of a text is a window of fewer blocks
+            # already, but for its only one.
+            room = np.where(end - own == n, known[edges[wide_to]] - known[edges[wide_from]], 0)
+            windows.append((own, end, wide_from, wide_to, room))
+        for item in alive.tolist():
+            lines = line[keep.words[item]]
+            rare = line[keep.rare[keep.starts[item] : keep.starts[item + 1]]]
+            rare = rare[rare < len(held)]
+            if len(rare) < keep.needed[item]:
+                continue
+            met = np.concatenate(([0], np.cumsum(table[rare].sum(axis=0, dtype=np.int32))))
+            for at, end, wide_from, wide_to, room in windows:
+                rows = np.flatnonzero((met[wide_to - low] - met[wide_from - low] >= keep.needed[item]) & (room >= spec.common * keep.lengths[item]))
+                if len(rows):
+                    rows = rows[_shared(table, lines, wide_from[rows] - low, wide_to[rows] - low, keep.times[item]) >= spec.common * keep.lengths[item]]
+                for i in rows.tolist():
+                    inner = numbers[edges[at[i]] : edges[end[i]]]
+                    vector = project[inner[inner >= 0]].sum(axis=0)
+                    cosine = float(vector @ queries[item] / max(np.linalg.norm(vector), 1e-12))
+                    if cosine < spec.cosine:
                         continue
-                    used = _subsequence(items.tokens[item], passage.tolist())
+                    used = _subsequence(items.tokens[item], numbers[edges[wide_from[i]] : edges[wide_to[i]]].tolist())
                     common = sum(used) / len(used)
                     cut = items.answer_from[item]
                     answer = sum(used[cut:]) / (len(used) - cut)
                     if common >= spec.common and answer >= spec.answer:
-                        key = int(owner[part[i]]), item
-                        best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (common, answer, float(near[i, j])))
+                        key = int(owner[at[i]]), item
+                        best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (common, answer, cosine))
     return best
 
 
+def _shared(table: np.ndarray, lines: np.ndarray, begin: np.ndarray, end: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """How many of an item's words (lines of the table, each so many times) the blocks from ``begin`` to ``end`` hold."""
+    held = table[lines[:, None], begin]
+    for k in range(1, int((end - begin).max())):
+        held |= table[lines[:, None], np.minimum(begin + k, end - 1)]
+    return times.astype(np.float32) @ held.astype(np.float32)
+
+
 def leaks(
     documents: DataFrame, benchmark: DataFrame, spec: Decontamination = Decontamination(), id_column: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
     """One row per document and item that leaked into it: doc_id, item_id, cosine, common, answer (the best of its passages).
 
     Words are runs of letters, digits and non-ASCII characters, A-Z as a-z. Every passage of every whole text is compared
-    with every item, in blocks of items. A passage with too little weight in the items' words is left out first. Null and empty texts, items without words or id, and rows without a doc_id match nothing;
+    with every item; only passages with too few of an item's words for any common subsequence that counts are left out
+    first, which loses none. Null and empty texts, items without words or id, and rows without a doc_id match nothing;
     rows that share a doc_id give the best of their rows; other columns are ignored.
     """
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -297,17 +332,16 @@ def leaks(
     items = _items(benchmark, spec, item_id, item_text)
     if not items.ids:
         return source.sparkSession.createDataFrame([], schema)
-    idf, other, space = latent_space(source, items, spec)
+    idf, space = latent_space(source, items, spec)
     project = (idf[:, None] * space).astype(np.float32)
-    weights = idf**2
     queries = np.stack([project[t].sum(axis=0) for t in items.tokens])
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
-    own = source.sparkSession.sparkContext.broadcast((items, project, queries.astype(np.float32)))
+    own = source.sparkSession.sparkContext.broadcast((items, project, queries.astype(np.float32), _filter(items, idf, spec)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, project, queries = own.value
+        items, project, queries, keep = own.value
         for batch in tx.slices(batches, "text", 2 << 20):
-            best = _search(batch.column(1), items, project, queries, weights, other, spec)
+            best = _search(batch.column(1), items, project, queries, keep, spec)
             if best:
                 ids = batch.column(0)
                 yield pa.RecordBatch.from_arrays(

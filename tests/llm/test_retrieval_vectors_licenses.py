@@ -61,6 +61,22 @@ def test_a_passage_without_the_answer_is_no_leak(spark, corpus):
     assert [(r.doc_id, r.item_id) for r in found.collect()] == [(2, 0)]
 
 
+@pytest.mark.parametrize("n_other", [200, 300_000])
+def test_short_items_and_paraphrases_at_every_offset_whatever_the_corpus(spark, n_other):
+    rng = random.Random(6)
+    items = [[f"c{rng.randrange(20)}" if k % 2 else f"i{n}x{k}" for k in range(n)] for n in (15, 18, 24, 30)]
+    docs, planted = [], set()
+    for i, item in enumerate(items):
+        for text in (item, [w if k % 4 else f"p{k}" for k, w in enumerate(item, 1)]):
+            for offset in range(16):
+                planted.add((len(docs), i))
+                docs.append((len(docs), " ".join([*(f"u{k}" for k in range(offset)), *text, *(f"v{k}" for k in range(50))])))
+    other = spark.range(n_other).selectExpr("id + 10000 AS doc_id", "concat('c', id % 20, ' w', id) AS text")
+    df = spark.createDataFrame(docs, "doc_id long, text string").union(other)
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in leaks(df, bench).collect()} == planted
+
+
 def test_leaks_of_the_smallest_tables(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
     items = spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()
