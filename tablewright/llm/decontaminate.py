@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +21,15 @@ MOST_ITEM_BYTES = 256 << 20
 class Decontamination:
     """Passages are windows of ``windows`` blocks of ``block`` words, one starting at every block.
 
+    Longer items get windows of twice as many blocks, and twice again, up to the longest item; one starts at every quarter
+    of these, is widened by a quarter, and is compared with items of more than a quarter of its words.
+
     A passage is a candidate for an item if the cosine of their TF-IDF vectors, both projected to the latent space of
     ``rank`` dimensions, reaches ``cosine``. The projection can't tell words that no item has; they count for nothing, however
     many there are. The passage, widened by a block on each side, is a leak if the longest common subsequence of words
     is at least ``common`` of the item, and at least ``answer`` of the item's answer: its last sentence, or its last
-    quarter if it has one sentence. Items under ``least`` words are not searched for.
+    quarter if it has one sentence. A verbatim copy of an item is a leak wherever it stands, whatever its cosine; items
+    under ``least`` words are searched for in this way only.
     """
 
     block: int = 16
@@ -60,7 +65,7 @@ def _items(benchmark: DataFrame, spec: Decontamination, id_column: str, text: st
     ids, tokens, answers = [], [], []
     for i, name in enumerate(table["id"].tolist()):
         own = numbers[bounds[i] : bounds[i + 1]].tolist()
-        if len(own) < spec.least:
+        if not own:
             continue
         content = table["text"][i].encode().rstrip(b" .!?\n")
         cut = max(content.rfind(b". "), content.rfind(b"? "), content.rfind(b"! "), content.rfind(b"\n"))
@@ -187,24 +192,41 @@ def latent_space(source: DataFrame, items: _Items, spec: Decontamination) -> tup
     return idf, left
 
 
-def _subsequence(item: list[int], passage: list[int]) -> list[bool]:
-    """Which words of the item stand in a longest common subsequence with the passage (bit-parallel rows, then a walk back)."""
+def _subsequence(item: list[int], passage: list[int], least: float = 0) -> list[bool]:
+    """Which words of the item stand in a longest common subsequence with the passage (bit-parallel rows, then a walk back).
+
+    No word if there are fewer than ``least``. Only some rows are kept; the walk makes those between them again.
+    """
     places: dict[int, int] = {}
     for i, word in enumerate(item):
         places[word] = places.get(word, 0) | 1 << i
     full = (1 << len(item)) - 1
-    row, rows = full, [full]
-    for word in passage:
+
+    def after(row: int, word: int) -> int:
         match = row & places.get(word, 0)
-        row = ((row + match) | (row - match)) & full
-        rows.append(row)
-    # A zero bit i of a row means that item[:i + 1] has a longer common part with what was read than item[:i].
+        return ((row + match) | (row - match)) & full
+
+    step = isqrt(len(passage)) + 1
+    row, kept = full, [full]
+    for j, word in enumerate(passage, 1):
+        row = after(row, word)
+        if j % step == 0:
+            kept.append(row)
     used = [False] * len(item)
+    if len(item) - row.bit_count() < least:
+        return used
+    # A zero bit i of a row means that item[:i + 1] has a longer common part with what was read than item[:i].
     i, j = len(item), len(passage)
+    start, rows = j + 1, []
     while i and j:
-        if rows[j] >> i - 1 & 1:
+        if j <= start:
+            start = (j - 1) // step * step
+            rows = [kept[start // step]]
+            for word in passage[start : min(start + step, len(passage))]:
+                rows.append(after(rows[-1], word))
+        if rows[j - start] >> i - 1 & 1:
             i -= 1
-        elif not rows[j - 1] >> i - 1 & 1:
+        elif not rows[j - start - 1] >> i - 1 & 1:
             j -= 1
         elif item[i - 1] == passage[j - 1]:
             used[i - 1] = True
@@ -224,7 +246,8 @@ class _Filter:
 
     ``words`` and ``times`` are each item's distinct words and their counts, the rarest first. ``rare`` are its rarest words
     (each as often as the item has it), one item after the other from ``starts`` on: more than a leak may lack, so that a
-    passage needs at least ``needed`` of them.
+    passage needs at least ``needed`` of them. ``windows`` reach to the longest item. Copies of item ``anchored[k]`` hold the
+    words of number ``anchors[k]`` (two of its words, the rarest that stand together) at its word ``places[k]``.
     """
 
     lengths: np.ndarray
@@ -233,6 +256,10 @@ class _Filter:
     rare: np.ndarray
     starts: np.ndarray
     needed: list[int]
+    windows: list[int]
+    anchors: np.ndarray
+    anchored: np.ndarray
+    places: np.ndarray
 
 
 def _filter(items: _Items, idf: np.ndarray, spec: Decontamination) -> _Filter:
@@ -247,21 +274,62 @@ def _filter(items: _Items, idf: np.ndarray, spec: Decontamination) -> _Filter:
         words.append(own)
         times.append(n)
     starts = np.concatenate(([0], np.cumsum([len(r) for r in rare])))
-    return _Filter(np.array([len(t) for t in items.tokens]), words, times, np.concatenate(rare), starts, needed)
+    lengths = np.array([len(t) for t in items.tokens])
+    windows = sorted(spec.windows)
+    while windows[-1] * spec.block < lengths.max():
+        windows.append(windows[-1] * 2)
+    anchors, places = [], []
+    for tokens in items.tokens:
+        weight = idf[tokens]
+        at = int(np.argmax(weight[:-1] + weight[1:])) if len(tokens) > 1 else 0
+        places.append(at)
+        anchors.append(_pair(tokens[at], tokens[at + 1] if len(tokens) > 1 else -1, len(idf)))
+    order = np.argsort(anchors, kind="stable")
+    return _Filter(lengths, words, times, np.concatenate(rare), starts, needed, windows, np.array(anchors)[order], order, np.array(places)[order])
+
+
+def _pair(word, following, size: int):
+    """A number for two words; -1 as the second one stands for any."""
+    return word * (size + 1) + following + 1
+
+
+def _copies(numbers: np.ndarray, bounds: np.ndarray, items: _Items, keep: _Filter) -> set[tuple[int, int]]:
+    """The rows and numbers of all items that stand verbatim in a row's words."""
+    size = len(items.vocabulary)
+    starting = np.zeros(size + 1, dtype=bool)
+    starting[keep.anchors // (size + 1)] = True
+    at = np.flatnonzero(starting[numbers])
+    word, following = numbers[at].astype(np.int64), np.append(numbers, -1)[at + 1]
+    out = set()
+    for second in (following, np.full(len(at), -1)):
+        # Where no known word follows, both looks are the same.
+        pair = _pair(word, second, size)
+        low, high = np.searchsorted(keep.anchors, pair), np.searchsorted(keep.anchors, pair, side="right")
+        for i in np.flatnonzero(high > low).tolist():
+            row = int(np.searchsorted(bounds, at[i], side="right")) - 1
+            for k in range(low[i], high[i]):
+                item = int(keep.anchored[k])
+                start, length = int(at[i]) - int(keep.places[k]), int(keep.lengths[item])
+                if (row, item) not in out and start >= bounds[row] and start + length <= bounds[row + 1]:
+                    if numbers[start : start + length].tolist() == items.tokens[item]:
+                        out.add((row, item))
+    return out
 
 
 def _search(column: pa.Array, items: _Items, project: np.ndarray, queries: np.ndarray, keep: _Filter, spec: Decontamination) -> dict[tuple[int, int], tuple]:
     """The leaks in a column of texts: of a row and an item's number the best (common, answer, cosine)."""
     numbers, bounds = _numbers(column, items.vocabulary)
     first, block_bounds = _blocks(bounds, spec.block)
-    best: dict[tuple[int, int], tuple] = {}
+    best: dict[tuple[int, int], tuple] = {key: (1.0, 1.0, float(queries[key[1]].any())) for key in _copies(numbers, bounds, items, keep)}
+    searched = keep.lengths >= spec.least
+    most = max(1, keep.windows[-1] // 4)
     known = np.concatenate(([0], np.cumsum(numbers >= 0)))
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(block_bounds))
     edges = np.append(first, len(numbers))
     together = max(256, min(_BLOCKS_TOGETHER, _MOST_CELLS // len(items.vocabulary)))
     for base in range(0, len(first), together):
         stop = min(base + together, len(first))
-        low, high = max(0, base - 1), min(stop + max(spec.windows), len(first))
+        low, high = max(0, base - most), min(stop + keep.windows[-1] + most, len(first))
         word = numbers[edges[low] : edges[high]]
         block = np.repeat(np.arange(high - low), np.diff(edges[low : high + 1]))[word >= 0]
         held, word = np.unique(word[word >= 0], return_inverse=True)
@@ -270,17 +338,19 @@ def _search(column: pa.Array, items: _Items, project: np.ndarray, queries: np.nd
         table[word, block] = True
         line = np.full(len(items.vocabulary), len(held))
         line[held] = np.arange(len(held))
-        alive = np.flatnonzero(np.logical_or.reduceat(line[keep.rare] < len(held), keep.starts[:-1]))
-        own = np.arange(base, stop)
+        alive = np.flatnonzero(searched & np.logical_or.reduceat(line[keep.rare] < len(held), keep.starts[:-1]))
         windows = []
-        for n in spec.windows:
+        for n in keep.windows:
+            own, step = np.arange(base, stop), max(1, n // 4)
+            if n > max(spec.windows):
+                own = own[(own - block_bounds[owner[own]]) % step == 0]
             begin, last = block_bounds[owner[own]], block_bounds[owner[own] + 1]
             end = np.minimum(own + n, last)
-            wide_from, wide_to = np.maximum(own - 1, begin), np.minimum(end + 1, last)
-            # No common subsequence is longer than the known words around. A shorter rest of a text is a window of fewer blocks
-            # already, but for its only one.
-            room = np.where(end - own == n, known[edges[wide_to]] - known[edges[wide_from]], 0)
-            windows.append((own, end, wide_from, wide_to, room))
+            wide_from, wide_to = np.maximum(own - step, begin), np.minimum(end + step, last)
+            # No common subsequence is longer than the known words around. A rest of a text of half as many blocks is a window
+            # of these already.
+            room = np.where(end - own > n // 2, known[edges[wide_to]] - known[edges[wide_from]], 0)
+            windows.append((0 if n <= max(spec.windows) else n * spec.block // 4, own, end, wide_from, wide_to, room))
         for item in alive.tolist():
             lines = line[keep.words[item]]
             rare = line[keep.rare[keep.starts[item] : keep.starts[item + 1]]]
@@ -288,7 +358,9 @@ def _search(column: pa.Array, items: _Items, project: np.ndarray, queries: np.nd
             if len(rare) < keep.needed[item]:
                 continue
             met = np.concatenate(([0], np.cumsum(table[rare].sum(axis=0, dtype=np.int32))))
-            for at, end, wide_from, wide_to, room in windows:
+            for shortest, at, end, wide_from, wide_to, room in windows:
+                if keep.lengths[item] <= shortest:
+                    break
                 rows = np.flatnonzero((met[wide_to - low] - met[wide_from - low] >= keep.needed[item]) & (room >= spec.common * keep.lengths[item]))
                 if len(rows):
                     rows = rows[_shared(table, lines, wide_from[rows] - low, wide_to[rows] - low, keep.times[item]) >= spec.common * keep.lengths[item]]
@@ -298,7 +370,7 @@ def _search(column: pa.Array, items: _Items, project: np.ndarray, queries: np.nd
                     cosine = float(vector @ queries[item] / max(np.linalg.norm(vector), 1e-12))
                     if cosine < spec.cosine:
                         continue
-                    used = _subsequence(items.tokens[item], numbers[edges[wide_from[i]] : edges[wide_to[i]]].tolist())
+                    used = _subsequence(items.tokens[item], numbers[edges[wide_from[i]] : edges[wide_to[i]]].tolist(), spec.common * keep.lengths[item])
                     common = sum(used) / len(used)
                     cut = items.answer_from[item]
                     answer = sum(used[cut:]) / (len(used) - cut)

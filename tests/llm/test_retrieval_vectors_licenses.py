@@ -77,6 +77,26 @@ def test_short_items_and_paraphrases_at_every_offset_whatever_the_corpus(spark,
     assert {(r.doc_id, r.item_id) for r in leaks(df, bench).collect()} == planted
 
 
+def test_items_of_any_length_are_found(spark):
+    items = {0: 1, 1: 3, 2: 161, 3: 400, 4: 960, 5: 3000, 6: 5}
+    items = {i: [f"i{i}x{k}" if k % 2 or n < 9 else f"c{k % 14}" for k in range(n)] for i, n in items.items()}
+    docs, planted, copies = [], set(), set()
+    for i, item in items.items():
+        for offset in (0, 7, 13, 500):
+            before, after = ([f"i{(i + 3) % 7}x{k % 3 + 4}" for k in range(n)] for n in (offset, 60))
+            for text in (item, [w if k % 5 else f"p{k}" for k, w in enumerate(item, 1)]):
+                if text == item or len(item) > 5:
+                    planted.add((len(docs), i))
+                    copies |= {(len(docs), i)} if text == item else set()
+                docs.append((len(docs), " ".join([*before, *text, *after])))
+    docs += [(1000, " ".join(items[4])), (1001, "i1x0 i1x1 and i1x2"), (1002, "i1x0 i1x1"), (1003, "i1x2 other")]
+    planted.add((1000, 4))
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.common for r in leaks(df, bench).collect()}
+    assert set(found) == planted and all(found[k] == 1 for k in copies)
+
+
 def test_leaks_of_the_smallest_tables(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
     items = spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()
