@@ -159,12 +159,11 @@ def scan(documents: DataFrame, spec: LicenseScan = LicenseScan(), id_column: str
 
 
 def _stream(automaton: SuffixAutomaton, ids: list[int], at: int, tokens: list, n_phrases: int, least: int, names: list[str], places: list, matches: list) -> None:
-    """Collects one run's phrase places and its matches of templates that can't be made longer to the right."""
-    statistics = list(automaton.statistics(ids))
-    for i, (length, state) in enumerate(statistics):
+    """Collects one run's phrase places and its matches of templates, each where it can't be made longer to the right along its own template."""
+    for i, (length, state) in enumerate(automaton.statistics(ids)):
         if length < least:
             continue
-        grows = i + 1 < len(ids) and statistics[i + 1][0] == length + 1
+        following = ids[i + 1] if i + 1 < len(ids) else -1
         # All suffixes of the match are in the places of the state and of the states its links lead to.
         seen = set()
         while state > 0:
@@ -177,7 +176,7 @@ def _stream(automaton: SuffixAutomaton, ids: list[int], at: int, tokens: list, n
                 if number < n_phrases:
                     if position == size - 1 and reach >= size:
                         places.append({"label": names[number], "start": at + i - size + 1, "length": size})
-                elif reach >= least and not grows:
+                elif reach >= least and (position + 1 == size or tokens[number][position + 1] != following):
                     matches.append((number, at + i + 1, position + 1, reach))
             length, state = automaton.length[automaton.link[state]], automaton.link[state]
             if length < least:

@@ -150,6 +150,14 @@ def test_license_scan_like_brute_force(spark):
     assert spans[0].start == 0 and spans[0].end == len(grant.split()) + 3
 
 
+def test_a_template_inside_a_longer_one_has_its_own_matches(spark):
+    line, notice = licenses.TEMPLATES["apache-2-line"], licenses.TEMPLATES["apache-2-notice"]
+    texts = ['Licensed under the Apache License, Version 2.0 (the "License")', line + " and others", notice, line, " ".join(notice.split()[:7]), "x " + line + " the license y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = {r.doc_id: r.labels for r in licenses.digest(licenses.scan(df)).collect()}
+    assert labels == {0: "apache-2,apache-2-line", 1: "apache-2,apache-2-line", 2: "apache-2,apache-2-line,apache-2-notice", 3: "apache-2,apache-2-line", 4: "apache-2,apache-2-line", 5: "apache-2,apache-2-line"}
+
+
 def test_automaton_statistics_like_brute_force():
     rng = random.Random(4)
     for _ in range(60):
