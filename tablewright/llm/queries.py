@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import language, licenses, quality, toxicity
+from tablewright.llm import bpe, language, licenses, quality, toxicity, vector_codes
 from tablewright.llm.decontaminate import leaks
 from tablewright.llm.forest import near_vectors
 from tablewright.llm.labelled import remainder
@@ -15,6 +15,7 @@ from tablewright.llm.lines import without_repeated_lines
 from tablewright.llm.minhash import NearDuplicates, near_duplicates
 from tablewright.llm.packing import pack, piece_checksum
 from tablewright.llm.tokens import token_counts
+from tablewright.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -82,6 +83,22 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(_table(spark, folder, "embeddings"))
+
+
+def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(_table(spark, folder, "documents")))
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_codes.compress(_table(spark, folder, "embeddings"))
+    digest = F.lit(vector_codes.codebook_digest(found.codebooks))
+    rows = vector_codes.with_group_error(found.rows)
+    return rows.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_licenses": op2_licenses,
@@ -93,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_minhash": op9_minhash,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_bpe": op12_bpe,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
