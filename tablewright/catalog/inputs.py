@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.encode import FeatureSpec
 from tablewright.operators.impute import FillSpec
+from tablewright.operators.linear import LinearModel
 from tablewright.operators.quality import Rule
 from tablewright.operators.tuning import TrainingSpec
 from tablewright.plans.preprocess import TableSpec
@@ -122,6 +123,22 @@ RULE_FEATURES = FeatureSpec(numeric=("price",), categorical=("o_orderpriority",)
 RULE_TRAINING = TrainingSpec(features=RULE_FEATURES, label="label", key="o_orderkey")
 
 
+GIVEN_WEIGHTS = LinearModel(
+    intercept=-1.5,
+    numeric={"price": 0.00001},
+    categorical={"o_orderpriority": {"1-URGENT": 1.25, "2-HIGH": 0.5, "5-LOW": -2.0}},
+)
+
+
+def wide_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with their customer as text, a category of many values and some nulls."""
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        gap("o_orderkey % 13 = 0", "concat('Customer ', o_custkey)").alias("customer"),
+        gap("o_orderkey % 17 = 0", "o_totalprice").alias("price"),
+    )
+
+
 def given_scores(spark: SparkSession, folder: str) -> DataFrame:
     """A tuning table made of the orders: priorities as families, key remainders as grid points."""
     point = (F.col("o_orderkey") % 5).cast("int")

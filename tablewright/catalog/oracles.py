@@ -35,6 +35,22 @@ titled AS (
 )"""
 
 
+WIDE_ORDERS = """
+wide_orders AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE concat('Customer ', o_custkey) END AS customer,
+         CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_totalprice END AS price
+  FROM orders
+),
+ranked AS (
+  SELECT customer, row_number() OVER (ORDER BY count(*) DESC, customer) - 1 AS idx
+  FROM wide_orders WHERE o_orderkey % 5 <> 0 AND customer IS NOT NULL GROUP BY customer
+),
+wide AS (
+  SELECT o_orderkey, w.customer, price, CAST(coalesce(idx, (SELECT count(*) FROM ranked)) AS DOUBLE) AS customer_index
+  FROM wide_orders w LEFT JOIN ranked r ON w.customer = r.customer
+)"""
+
+
 def _feature_table(scope: str, label: str = "t.label, ", rows: str = "") -> str:
     return f"""
 WITH {RAW_EVENTS},
@@ -461,6 +477,15 @@ WITH {PRIORITY_RANK}
 SELECT o_orderkey, array_to_string(list_transform(range((SELECT count(*) FROM ranked)),
        lambda i: CASE WHEN i = idx THEN '1' ELSE '0' END), ',') AS slots
 FROM indexed
+""",
+    "string_index_wide": f"WITH {WIDE_ORDERS} SELECT o_orderkey, customer, customer_index FROM wide",
+    "string_index_wide_shuffled": f"WITH {WIDE_ORDERS} SELECT o_orderkey, customer, customer_index FROM wide",
+    "sparse_vectors": f"""
+WITH {WIDE_ORDERS}, known AS (SELECT count(*) AS n FROM ranked)
+SELECT o_orderkey, CAST(1 + n AS INTEGER) AS n_slots,
+       concat('0', CASE WHEN customer_index < n THEN concat(',', CAST(customer_index AS INTEGER) + 1) ELSE '' END) AS slots,
+       round(price + CASE WHEN customer_index < n THEN 1 ELSE 0 END, 2) AS total
+FROM wide, known WHERE price IS NOT NULL
 """,
     "assembled_rows": f"""
 WITH {MODEL_ORDERS}
@@ -487,6 +512,53 @@ added(position, name, type) AS (VALUES
 SELECT 'input' AS io, CAST(position AS INTEGER) AS position, name, type FROM base
 UNION ALL SELECT 'output', CAST(position AS INTEGER), name, type FROM base
 UNION ALL SELECT 'output', CAST(position AS INTEGER), name, type FROM added
+""",
+    "tuning_table_rule": f"""
+WITH points(family, family_rank, point, params) AS (VALUES
+  ('GBTClassifier', 0, 0, '{{"maxDepth": 3, "maxIter": 10}}'), ('GBTClassifier', 0, 1, '{{"maxDepth": 3, "maxIter": 20}}'),
+  ('GBTClassifier', 0, 2, '{{"maxDepth": 5, "maxIter": 10}}'), ('GBTClassifier', 0, 3, '{{"maxDepth": 5, "maxIter": 20}}'),
+  ('RandomForest', 1, 0, '{{"numTrees": 20, "maxDepth": 5}}'), ('RandomForest', 1, 1, '{{"numTrees": 20, "maxDepth": 7}}'),
+  ('RandomForest', 1, 2, '{{"numTrees": 20, "maxDepth": 10}}'), ('RandomForest', 1, 3, '{{"numTrees": 50, "maxDepth": 5}}'),
+  ('RandomForest', 1, 4, '{{"numTrees": 50, "maxDepth": 7}}'), ('RandomForest', 1, 5, '{{"numTrees": 50, "maxDepth": 10}}'),
+  ('DecisionTree', 2, 0, '{{"maxDepth": 5}}'), ('DecisionTree', 2, 1, '{{"maxDepth": 7}}'), ('DecisionTree', 2, 2, '{{"maxDepth": 10}}'),
+  ('LogisticRegression', 3, 0, '{{"regParam": 0.01}}'), ('LogisticRegression', 3, 1, '{{"regParam": 0.1}}')),
+-- What the rule itself gets on the training rows that have a price: each class's F1, weighted by its rows.
+rows AS (
+  SELECT o_orderpriority IN ('1-URGENT', '2-HIGH') AS y, o_orderpriority < '3' AS found FROM orders
+  WHERE {HASH} < 0.8 * 4294967296 AND o_orderkey % 17 <> 0
+),
+classes AS (
+  SELECT c, count(*) FILTER (WHERE y = c AND found = c) AS tp, count(*) FILTER (WHERE found = c) AS told, count(*) FILTER (WHERE y = c) AS n
+  FROM rows CROSS JOIN (VALUES (TRUE), (FALSE)) AS k(c) GROUP BY c
+),
+rule AS (SELECT round(sum(2.0 * tp / (told + n) * n) / sum(n), 6) AS f1 FROM classes)
+SELECT family, CAST(family_rank AS INTEGER) AS family_rank, CAST(point AS INTEGER) AS point, params, f1 FROM points CROSS JOIN rule
+""",
+    "feature_importance_rule": f"""
+-- A tree splits off the positive priority with the larger gain, then the other one; both parts are pure then.
+WITH rows AS (
+  SELECT o_orderpriority FROM orders WHERE {HASH} < 0.8 * 4294967296 AND o_orderkey % 17 <> 0
+),
+counts AS (
+  SELECT o_orderpriority, count(*) AS n, o_orderpriority IN ('1-URGENT', '2-HIGH') AS y, sum(count(*)) OVER () AS total FROM rows GROUP BY 1
+),
+whole AS (SELECT max(total) AS total, sum(n) FILTER (WHERE y) AS positive, max(n) FILTER (WHERE y) AS first FROM counts),
+gains AS (
+  SELECT total * 2.0 * (positive / total) * (1 - positive / total) AS all_gain,
+         (total - first) * 2.0 * ((positive - first) / (total - first)) * (1 - (positive - first) / (total - first)) AS second, first
+  FROM whole
+)
+SELECT concat('o_orderpriority_vec_', o_orderpriority) AS feature,
+       round(CASE WHEN NOT y THEN 0.0 WHEN n = first THEN 1 - second / all_gain ELSE second / all_gain END, 6) AS importance
+FROM counts, gains UNION ALL SELECT 'price', 0.0
+""",
+    "probability_given": """
+WITH o AS (
+  SELECT o_orderkey, -1.5 + 0.00001 * CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_totalprice END
+         + CASE o_orderpriority WHEN '1-URGENT' THEN 1.25 WHEN '2-HIGH' THEN 0.5 WHEN '5-LOW' THEN -2.0 ELSE 0 END AS z
+  FROM orders
+)
+SELECT o_orderkey, round(1 / (1 + exp(-z)), 9) AS probability, CAST(1 / (1 + exp(-z)) > 0.5 AS INTEGER) AS prediction FROM o
 """,
     "score_skipped": f"WITH {MODEL_ORDERS} SELECT o_orderkey FROM model_orders WHERE noisy_price IS NULL",
     "run_log": f"""

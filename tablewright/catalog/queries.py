@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from tablewright import scratch
 from tablewright.catalog import inputs as src
-from tablewright.operators import clean, curves, drift, encode, impute, metrics, profile, quality, sampling, tuning
+from tablewright.operators import clean, curves, dictionary, drift, encode, impute, linear, metrics, profile, quality, sampling, trees, tuning
 from tablewright.operators.features import with_group_size, with_title
 from tablewright.operators.prefix import prefix_counts as running_counts
 from tablewright.operators.score import incomplete_rows, score, score_all
@@ -30,6 +30,11 @@ def query(function: Query) -> Query:
     return function
 
 
+def vector_parts(vector: str) -> Column:
+    """The size, indices and values of a sparse vector."""
+    return F.from_json(F.to_json(F.struct(vector)), f"struct<{vector}: struct<type: int, size: int, indices: array<int>, values: array<double>>>")[vector]
+
+
 def rounded(column: str | Column, places: int = 6) -> Column:
     return F.round(column, places)
 
@@ -411,6 +416,36 @@ def one_hot(spark, folder):
     return encoded.select("o_orderkey", F.array_join(slots, ",").alias("slots"))
 
 
+def _wide(spark, folder, column, fit_on="o_orderkey % 5 <> 0", **options):
+    """Orders with the index of a column of many categories, some of them unseen when the dictionary was made."""
+    orders = src.wide_orders(spark, folder)
+    known = dictionary.build_dictionary(orders.where(fit_on), column, rows_per_part=500)
+    return known, dictionary.with_index(orders, known, f"{column}_index", **options)
+
+
+@query
+def string_index_wide(spark, folder):
+    _, indexed = _wide(spark, folder, "customer")
+    return indexed.select("o_orderkey", "customer", "customer_index")
+
+
+@query
+def string_index_wide_shuffled(spark, folder):
+    """The form for dictionaries too large to broadcast."""
+    _, indexed = _wide(spark, folder, "customer", broadcast_bytes=0, target_rows=15)
+    return indexed.select("o_orderkey", "customer", "customer_index")
+
+
+@query
+def sparse_vectors(spark, folder):
+    """Vectors of a number and of all customers: the number of slots, and the sums of their indices and values."""
+    known, indexed = _wide(spark, folder, "customer")
+    vectors = dictionary.with_sparse_vector(indexed, ["price"], [("customer_index", known)])
+    parts = vectors.select("o_orderkey", vector_parts("features").alias("v"))
+    total = F.aggregate("v.values", F.lit(0.0), lambda total, x: total + x)
+    return parts.select("o_orderkey", F.col("v.size").alias("n_slots"), F.array_join("v.indices", ",").alias("slots"), rounded(total, 2).alias("total"))
+
+
 @query
 def assembled_rows(spark, folder):
     orders = src.model_orders(spark, folder)
@@ -550,6 +585,14 @@ def tuning_table(spark, folder):
     return _tuned(spark, folder)
 
 
+@query
+def tuning_table_rule(spark, folder):
+    """The whole grid on a label that every family finds."""
+    training, _ = _rule_parts(spark, folder)
+    tuned = tuning.tuning_table(tuning.cross_validate(training, src.RULE_TRAINING))
+    return tuned.withColumn("f1", rounded("f1"))
+
+
 @query
 def best_model(spark, folder):
     return tuning.best_model(_tuned(spark, folder))
@@ -567,6 +610,16 @@ def feature_importance(spark, folder):
     return encode.feature_importance(model.stages[-1], model.transform(training))
 
 
+@query
+def feature_importance_rule(spark, folder):
+    """Importances out of the stored nodes of a tree that finds the rule, of the slots that it splits by."""
+    training, _ = _rule_parts(spark, folder)
+    model = tuning.fit_family(training, src.RULE_TRAINING, "DecisionTree", maxDepth=5)
+    nodes = trees.tree_nodes(spark, model.stages[-1])
+    found = encode.named_importance(trees.slot_importance(nodes, True), encode.feature_names(model.transform(training)))
+    return found.select("feature", rounded("importance").alias("importance"))
+
+
 def _saved_model(spark, folder):
     """A logistic model of the orders, stored and loaded again."""
     training, _ = _training_and_held_out(spark, folder)
@@ -581,6 +634,17 @@ def score_batch(spark, folder):
     return score(_saved_model(spark, folder), orders, "high", "low").drop("label")
 
 
+@query
+def probability_given(spark, folder):
+    """Probabilities and predictions of a logistic model given by its weights, as arithmetic over the columns."""
+    orders = src.rule_training(spark, folder)
+    return orders.select(
+        "o_orderkey",
+        rounded(src.GIVEN_WEIGHTS.probability(), 9).alias("probability"),
+        src.GIVEN_WEIGHTS.prediction().alias("prediction"),
+    )
+
+
 @query
 def score_skipped(spark, folder):
     return incomplete_rows(src.model_orders(spark, folder), src.ORDER_FEATURES).select("o_orderkey")

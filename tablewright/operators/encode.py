@@ -77,6 +77,13 @@ def feature_importance(model: Transformer, transformed: DataFrame, features: str
     )
 
 
+def named_importance(importance: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Slot importances with the slots' names, highest first; slots without any have 0."""
+    slots = importance.sparkSession.createDataFrame(list(enumerate(names)), "idx int, feature string")
+    found = slots.join(importance, "idx", "left").withColumn("importance", F.coalesce("importance", F.lit(0.0)))
+    return found.orderBy(F.desc("importance"), "idx")
+
+
 def feature_info(model: PipelineModel, spec: FeatureSpec, df: DataFrame) -> DataFrame:
     """Feature columns by kind, with the number of vector slots each one fills."""
     sizes = {c: 1 for c in spec.numeric}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.encode import FeatureSpec, feature_stages, fit_features
 from tablewright.operators.sampling import with_fold
+from tablewright.operators.trees import cut_prediction, first_rounds_prediction, slots, tree_nodes
 
 CLASSIFIERS = {
     "GBTClassifier": GBTClassifier,
@@ -38,20 +40,33 @@ GRIDS: dict[str, dict[str, list]] = {
 }
 FOLDS = 3
 
+# Training rows in one partition.
+ROWS_PER_PART = 50_000
+# Of these parameters, models with smaller values lie inside the one with the largest.
+NESTED = {"GBTClassifier": "maxIter", "DecisionTree": "maxDepth"}
+
 TUNING_SCHEMA = "family string, family_rank int, point int, params string, fold int, f1 double"
 
 
 @dataclass(frozen=True)
 class TrainingSpec:
-    """What to learn from: features, label, and the row key that places rows in folds and in ``parts`` partitions."""
+    """What to learn from: features, label, and the row key that places rows in folds and partitions.
+
+    ``parallelism`` models are fitted at a time; a partition holds about ``rows_per_part`` rows.
+    """
 
     features: FeatureSpec
     label: str
     key: str
     folds: int = FOLDS
     grids: Mapping[str, Mapping[str, Sequence]] = field(default_factory=lambda: GRIDS)
-    parallelism: int = 4
-    parts: int = 16
+    parallelism: int = 8
+    rows_per_part: int = ROWS_PER_PART
+
+    @property
+    def columns(self) -> list[str]:
+        """What training reads."""
+        return list(dict.fromkeys([self.key, self.label, *self.features.numeric, *self.features.categorical]))
 
 
 def classifier(family: str, label: str, features: str = "features", **params) -> Estimator:
@@ -69,16 +84,25 @@ def param_maps(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]
 def fit_family(df: DataFrame, spec: TrainingSpec, family: str, **params) -> PipelineModel:
     """Fit the feature stages and one classifier as one saved-together model."""
     stages = [*feature_stages(spec.features), classifier(family, spec.label, spec.features.output, **params)]
-    return Pipeline(stages=stages).fit(spread(df, spec.key, spec.parts))
+    return Pipeline(stages=stages).fit(spread(df.select(*spec.columns), spec.key, spec.rows_per_part))
 
 
-def spread(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """The rows laid out in ``parts`` partitions by a hash of their key, ordered by key inside each.
+def parts_of(n_rows: int, rows_per_part: int = ROWS_PER_PART) -> int:
+    """How many partitions a training table gets: by its rows alone, not by cores, files or settings."""
+    return max(1, math.ceil(n_rows / rows_per_part))
 
-    A forest draws its samples by row position, so the layout must not depend on the machine or on the input's files.
-    Fitting passes over the rows many times, so the one shuffle pays off.
+
+def spread(df: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """The rows laid out in partitions of about ``rows_per_part`` rows, by hashes of the rows, ordered by key inside each.
+
+    A forest draws its samples by row position, so the layout must depend on neither the machine nor the input's files:
+    the number of partitions follows from a count of the rows, and a row's place from its key and a second hash over all
+    its columns. So rows of one hot key, or of none, are spread over all partitions; only rows that are equal
+    in every column stay together. Fitting passes over the rows many times, so the one shuffle pays off.
     """
-    return df.repartition(parts, key).sortWithinPartitions(key)
+    salt = F.xxhash64(*[F.col(c) for c in df.columns])
+    parts = parts_of(df.count(), rows_per_part)
+    return df.withColumn("_salt", salt).repartition(parts, key, "_salt").sortWithinPartitions(key, "_salt").drop("_salt")
 
 
 def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
@@ -87,9 +111,10 @@ def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
     Per fold the feature stages are fitted once, on the fold's training rows, and shared by all
     grid points; a cross validator around the whole pipeline would fit them again for each point.
     The rows are laid out once; the feature vectors of all folds are made before the models are fitted, several at a
-    time over all folds and points.
+    time over all folds and points. Points whose model lies inside another one's are not fitted: the first rounds of a
+    boosted model, and the upper levels of a single tree, are read from the larger model's nodes.
     """
-    folded = with_fold(spread(df, spec.key, spec.parts), spec.key, spec.folds).persist()
+    folded = with_fold(spread(df.select(*spec.columns), spec.key, spec.rows_per_part), spec.key, spec.folds).persist()
     evaluator = MulticlassClassificationEvaluator(labelCol=spec.label, predictionCol="prediction", metricName="f1")
     columns = [spec.label, spec.features.output]
     held = [folded]
@@ -100,9 +125,18 @@ def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
         return held[-1]
 
     def score(task):
-        (rank, family, point, chosen), (fold, inside, outside) = task
-        model = classifier(family, spec.label, spec.features.output, **chosen).fit(inside)
-        return family, rank, point, json.dumps(chosen), fold, float(evaluator.evaluate(model.transform(outside)))
+        points, (fold, inside, outside) = task
+        (rank, family, point, largest), *smaller = points
+        model = classifier(family, spec.label, spec.features.output, **largest).fit(inside)
+        found = [(family, rank, point, json.dumps(largest), fold, float(evaluator.evaluate(model.transform(outside))))]
+        if smaller:
+            nodes = tree_nodes(df.sparkSession, model).collect()
+            name, predict = NESTED[family], first_rounds_prediction if NESTED[family] == "maxIter" else cut_prediction
+            rows = outside.select(spec.label, slots(spec.features.output).alias("slots"))
+            for rank, family, point, chosen in smaller:
+                predicted = rows.select(spec.label, predict(nodes, "slots", chosen[name]).alias("prediction"))
+                found.append((family, rank, point, json.dumps(chosen), fold, float(evaluator.evaluate(predicted))))
+        return found
 
     try:
         folds = []
@@ -111,11 +145,11 @@ def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
             encode = fit_features(training, spec.features)
             folds.append((fold, stored(encode.transform(training)), stored(encode.transform(folded.where(F.col("fold") == fold)))))
         with ThreadPool(spec.parallelism) as pool:
-            rows = pool.map(score, [(point, fold) for point in _grid_points(spec) for fold in folds], chunksize=1)
+            rows = pool.map(score, [(points, fold) for points in _fits(spec) for fold in folds], chunksize=1)
     finally:
         for part in held:
             part.unpersist()
-    return df.sparkSession.createDataFrame(rows, TUNING_SCHEMA)
+    return df.sparkSession.createDataFrame([row for found in rows for row in found], TUNING_SCHEMA)
 
 
 def tuning_table(scores: DataFrame) -> DataFrame:
@@ -154,3 +188,14 @@ def _grid_points(spec: TrainingSpec) -> list[tuple]:
         for point, chosen in enumerate(param_maps(estimator, grid)):
             points.append((rank, family, point, {p.name: v for p, v in chosen.items()}))
     return points
+
+
+def _fits(spec: TrainingSpec) -> list[list[tuple]]:
+    """Grid points by the model that gives them: the point that is fitted, then those that lie inside it."""
+    groups: dict[tuple, list[tuple]] = {}
+    for rank, family, point, chosen in _grid_points(spec):
+        name = NESTED.get(family)
+        others = tuple(sorted((k, v) for k, v in chosen.items() if k != name))
+        alone = None if name in chosen else point
+        groups.setdefault((rank, others, alone), []).append((rank, family, point, chosen))
+    return [sorted(own, key=lambda p: -p[3].get(NESTED.get(p[1]), 0)) for own in groups.values()]

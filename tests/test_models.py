@@ -1,3 +1,4 @@
+import dataclasses
 import json
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
-from tablewright.operators import encode, tuning
+from tablewright.operators import encode, linear, trees, tuning
 from tablewright.operators.sampling import with_fold
 from tablewright.operators.score import incomplete_rows, score
 from tablewright.sources.models import load_model, model_exists, save_model
@@ -130,3 +131,63 @@ def test_signature(learnable, spec):
     rows = encode.signature(learnable, fitted.transform(learnable)).collect()
     assert [r["name"] for r in rows if r["io"] == "input"] == ["id", "x", "c", "y"]
     assert rows[-1]["type"] == "vector"
+
+
+def test_layout_depends_on_the_rows_alone(spark, learnable, spec):
+    """The same forest from any number of input partitions, also with a hot key and keyless rows."""
+    key = F.expr("CASE WHEN id % 3 = 0 THEN -1 WHEN id % 7 = 0 THEN NULL ELSE id END")
+    rows = learnable.withColumn("id", key).cache()
+    own = dataclasses.replace(spec, rows_per_part=100)
+    models = [tuning.fit_family(rows.repartition(n), own, "RandomForest", numTrees=3, maxDepth=4).stages[-1].toDebugString for n in (1, 4, 16)]
+    trees_only = [m[m.index("\n") :] for m in models]  # the first line names the model
+    assert trees_only[0] == trees_only[1] == trees_only[2]
+    sizes = [r["count"] for r in tuning.spread(rows, "id", 100).groupBy(F.spark_partition_id()).count().collect()]
+    # A third of the rows has one key; 12 parts of 100 rows on average.
+    assert len(sizes) == 12 and max(sizes) < 170
+
+
+def test_ten_times_the_rows_get_ten_times_the_parts(spark):
+    parts = [tuning.spread(spark.range(n), "id", 100).rdd.getNumPartitions() for n in (0, 1, 1000, 10_000)]
+    assert parts == [1, 1, 10, 100]
+
+
+def test_smaller_models_lie_inside_larger_ones(spark, learnable, spec):
+    """Points that aren't fitted score as the built-in cross validator's fits do."""
+    grids = {"GBTClassifier": {"maxDepth": [2, 3], "maxIter": [2, 5]}, "DecisionTree": {"maxDepth": [1, 2, 5]}}
+    own = dataclasses.replace(spec, grids=grids)
+    assert [len(points) for points in tuning._fits(own)] == [2, 2, 3]
+    found = tuning.tuning_table(tuning.cross_validate(learnable, own)).collect()
+    assert len(found) == 7
+    for family, grid in grids.items():
+        model = tuning.classifier(family, "y")
+        points = tuning.param_maps(model, grid)
+        validator = CrossValidator(
+            estimator=Pipeline(stages=[*encode.feature_stages(SPEC), model]), estimatorParamMaps=points,
+            evaluator=MulticlassClassificationEvaluator(labelCol="y", metricName="f1"), numFolds=3, foldCol="fold", parallelism=8,
+        )
+        theirs = validator.fit(with_fold(learnable, "id", 3)).avgMetrics
+        ours = {r["params"]: r["f1"] for r in found if r["family"] == family}
+        assert [ours[json.dumps({p.name: v for p, v in point.items()})] for point in points] == pytest.approx(theirs)
+
+
+@pytest.mark.parametrize("family, params", [
+    ("DecisionTree", {"maxDepth": 5}), ("RandomForest", {"numTrees": 4, "maxDepth": 4}), ("GBTClassifier", {"maxIter": 4, "maxDepth": 3}),
+])
+def test_importance_of_stored_nodes(spark, learnable, spec, family, params):
+    model = tuning.fit_family(learnable, spec, family, **params)
+    nodes = trees.tree_nodes(spark, model.stages[-1])
+    named = encode.named_importance(trees.slot_importance(nodes, family != "GBTClassifier"), encode.feature_names(model.transform(learnable)))
+    theirs = {r["feature"]: r["importance"] for r in encode.feature_importance(model.stages[-1], model.transform(learnable)).collect()}
+    assert {r["feature"]: r["importance"] for r in named.collect()} == pytest.approx(theirs, abs=1e-12)
+
+
+def test_logistic_model_as_arithmetic(spark, learnable, spec):
+    model = tuning.fit_family(learnable, spec, "LogisticRegression", regParam=0.01)
+    given = linear.linear_model(model, SPEC)
+    extra = spark.createDataFrame([(-1, 0.4, "new", 0.0), (-2, 0.4, None, 0.0)], "id long, x double, c string, y double")
+    rows = model.transform(learnable.unionByName(extra))
+    both = rows.select("prediction", vector_to_array("probability")[1].alias("theirs"), given.probability().alias("ours"), given.prediction().alias("found"))
+    assert both.count() == 1202
+    assert both.where("abs(theirs - ours) > 1e-12 OR prediction <> found OR ours IS NULL").isEmpty()
+    missing = spark.createDataFrame([(None, "u"), (float("nan"), "u")], "x double, c string").select(given.probability().alias("p"), given.prediction().alias("n"))
+    assert [tuple(r) for r in missing.collect()] == [(None, None)] * 2
