@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,46 @@ def test_classifier_edges(spark, odd, kind):
     assert {round(r.score, 3) for r in kind.score(odd, empty).collect()} == {0.5}
 
 
+def plain_toxicity(rows, texts, sizes, smooth, penalty, steps, least):
+    """Scores of ``texts`` by a dense version of the classifier, fitted on rows (text, label)."""
+
+    def grams(text):
+        own = "".join(" " if c.isspace() or c.isascii() and not c.isalpha() and c != "'" else c.lower() if len(c.lower()) == 1 else c for c in text or "")
+        return {own[i : i + n] for n in sizes for i in range(len(own) - n + 1)}
+
+    y = np.array([label for _, label in rows], float)
+    held = [grams(t) for t, _ in rows]
+    pos, neg = y.sum(), len(y) - y.sum()
+    names = sorted({g for h in held for g in h})
+    p = np.array([sum(g in h for h, k in zip(held, y) if k) for g in names])
+    n = np.array([sum(g in h for h, k in zip(held, y) if not k) for g in names])
+    common = p + n >= least
+    names = [g for g, c in zip(names, common) if c]
+    ratio = np.log((p + smooth) / (pos + 2 * smooth) / ((n + smooth) / (neg + 2 * smooth)))[common]
+    x = np.array([[g in h for g in names] for h in held]) * ratio
+    w, b = np.zeros(len(names)), np.log(pos / neg)
+    m, v, mb, vb = np.zeros(len(names)), np.zeros(len(names)), 0.0, 0.0
+    for step in range(1, steps + 1):
+        error = (1 / (1 + np.exp(-(x @ w + b))) - y) / len(y)
+        g, gb = x.T @ error + penalty * w, error.sum()
+        m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
+        w = w - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        b = b - 0.05 * (mb / (1 - 0.9**step)) / (np.sqrt(vb / (1 - 0.999**step)) + 1e-8)
+    z = np.array([[g in grams(t) for g in names] for t in texts]) * ratio @ w + b
+    return 1 / (1 + np.exp(-z))
+
+
+def test_toxicity_like_a_plain_version(spark):
+    rows = [(f"gentle été words {i} 日本", 0) if i % 3 else (f"Vile!! RUBBISH{i} naïve été Ünder", 1) for i in range(30)]
+    texts = ["", "gentle rubbish", "VILE***", "日本 Ü naïve", "x" * 5000 + " vile", "gentle rubbish"]
+    spec = toxicity.Toxicity(sizes=(2, 3, 4), features=100_000, steps=40)
+    labelled = spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate(rows)], "doc_id long, text string, label int").repartition(3)
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.score for r in toxicity.score(asked, toxicity.fit(labelled, spec)).collect()}
+    expected = plain_toxicity(rows, texts, spec.sizes, spec.smooth, spec.penalty, spec.steps, spec.least)
+    assert [found[i] for i in range(len(texts))] == pytest.approx(expected.tolist(), abs=1e-6)
+
+
 def test_stages_take_odd_rows(spark, odd):
     docs = odd.select("doc_id", "text", "lang", F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"))
     for name, stage in corpus_pipeline.STAGES[:-1]:
