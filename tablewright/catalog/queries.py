@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from tablewright import scratch
 from tablewright.catalog import inputs as src
 from tablewright.operators import clean, curves, dictionary, drift, encode, impute, linear, metrics, profile, quality, sampling, trees, tuning
+from tablewright.operators.baseline import StoredBaseline
 from tablewright.operators.features import with_group_size, with_title
 from tablewright.operators.prefix import prefix_counts as running_counts
 from tablewright.operators.score import incomplete_rows, score, score_all
@@ -726,7 +727,7 @@ def stream_drift(spark, folder):
     arriving, stored, reports, decisions, progress = (
         scratch.new_path(spark, n) for n in ("arriving", "stored", "reports", "decisions", "progress")
     )
-    counts = drift.StoredBaseline.build(baseline, ["v", "user_id"], ["event_type"])
+    counts = StoredBaseline.build(baseline, ["v", "user_id"], ["event_type"])
     handler = drift_stream.batch_handler(counts, stored, reports, decisions, rows.schema, lambda: False)
     for batch in batches:
         batch.write.mode("append").parquet(arriving)

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType
 
-from tablewright import scratch
 from tablewright.functions.pvalues import chi2_sf, ks_exact_p, ks_limit_p
 from tablewright.operators.prefix import ROWS_PER_BUCKET, long_values, running_counts
 
@@ -41,7 +39,7 @@ def ks_drift(
     feature the result is empty.
     """
     features = shared_features(new, baseline, features)
-    return _ks_of_values(_new_values(new, features), _base_values(baseline, features), features, alpha, method, rows_per_bucket)
+    return _ks_of_values(new_values(new, features), base_values(baseline, features), features, alpha, method, rows_per_bucket)
 
 
 def chi2_drift(new: DataFrame, baseline: DataFrame, features: Sequence[str], alpha: float = ALPHA) -> DataFrame:
@@ -55,49 +53,7 @@ def contingency(new: DataFrame, baseline: DataFrame, features: Sequence[str]) ->
     The sides are tagged and counted together, so no join is needed and null is a category.
     """
     features = shared_features(new, baseline, features)
-    return _side_sums(_new_categories(new, features).unionByName(_base_categories(baseline, features)))
-
-
-@dataclass(frozen=True)
-class StoredBaseline:
-    """A baseline reduced to counts per distinct value, so that testing a batch does not read it again."""
-
-    numbers: DataFrame  # (feature, value, new, base)
-    categories: DataFrame  # (feature, category, new, base)
-    numeric: Sequence[str]
-    categorical: Sequence[str]
-
-    @staticmethod
-    def build(baseline: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> StoredBaseline:
-        numeric = [f for f in numeric if f in baseline.columns]
-        categorical = [f for f in categorical if f in baseline.columns]
-        numbers = _base_values(baseline, numeric).groupBy("feature", "value")
-        categories = _base_categories(baseline, categorical).groupBy("feature", "category")
-        sums = [F.sum("new").alias("new"), F.sum("base").alias("base")]
-        return StoredBaseline(
-            scratch.write_table(numbers.agg(*sums), "baseline-numbers"),
-            scratch.write_table(categories.agg(*sums), "baseline-categories"),
-            numeric,
-            categorical,
-        )
-
-    def report(
-        self, new: DataFrame, alpha: float = ALPHA, method: str = "corrected", rows_per_bucket: int = ROWS_PER_BUCKET
-    ) -> DataFrame:
-        """The drift report of a table against this baseline."""
-        numeric = [f for f in self.numeric if f in new.columns]
-        categorical = [f for f in self.categorical if f in new.columns]
-        base_numbers = self.numbers.where(F.col("feature").isin(numeric))
-        base_categories = self.categories.where(F.col("feature").isin(categorical))
-        parts = []
-        if numeric:
-            parts.append(
-                _ks_rows(_ks_of_values(_new_values(new, numeric), base_numbers, numeric, alpha, method, rows_per_bucket))
-            )
-        if categorical:
-            counts = _side_sums(_new_categories(new, categorical).unionByName(base_categories))
-            parts.append(_chi2_rows(chi2_from_counts(counts, alpha)))
-        return _one_report(parts)
+    return side_sums(new_categories(new, features).unionByName(base_categories(baseline, features)))
 
 
 def chi2_from_counts(counts: DataFrame, alpha: float = ALPHA) -> DataFrame:
@@ -144,10 +100,10 @@ def drift_report(
     """One row per feature: kind of test, statistic, degrees of freedom, p-value, drifted or not."""
     parts = []
     if shared_features(new, baseline, numeric):
-        parts.append(_ks_rows(ks_drift(new, baseline, numeric, alpha, method)))
+        parts.append(ks_rows(ks_drift(new, baseline, numeric, alpha, method)))
     if shared_features(new, baseline, categorical):
-        parts.append(_chi2_rows(chi2_drift(new, baseline, categorical, alpha)))
-    return _one_report(parts)
+        parts.append(chi2_rows(chi2_drift(new, baseline, categorical, alpha)))
+    return one_report(parts)
 
 
 def drift_verdict(report: DataFrame) -> DataFrame:
@@ -181,8 +137,7 @@ def _drifted(alpha: float) -> Column:
 def _ks_of_values(
     new_values: DataFrame, base_values: DataFrame, features: Sequence[str], alpha: float, method: str, rows_per_bucket: int
 ) -> DataFrame:
-    if method not in ("corrected", "limit", "exact"):
-        raise ValueError(f"unknown method {method!r}")
+    check_method(method)
     counts = running_counts(new_values.unionByName(base_values), ["new", "base"], rows_per_bucket)
     gap = F.abs(F.col("new_upto") / F.col("new_total") - F.col("base_upto") / F.col("base_total"))
     both = (F.col("new_total") > 0) & (F.col("base_total") > 0)
@@ -191,27 +146,36 @@ def _ks_of_values(
         F.max("new_total").alias("n_new"),
         F.max("base_total").alias("n_base"),
     )
-    # A feature without any value on either side has a row, too.
-    names = new_values.sparkSession.createDataFrame([(f,) for f in features], "feature string")
-    result = names.join(result, "feature", "left").withColumns({n: F.coalesce(n, F.lit(0).cast("long")) for n in ("n_new", "n_base")})
-    measured = F.col("statistic"), F.col("n_new"), F.col("n_base")
-    p = ks_exact_p(*measured) if method == "exact" else ks_limit_p(*measured, corrected=method == "corrected")
+    return ks_verdicts(result, features, alpha, method)
+
+
+def check_method(method: str) -> None:
+    if method not in ("corrected", "limit", "exact"):
+        raise ValueError(f"unknown method {method!r}")
+
+
+def ks_verdicts(measured: DataFrame, features: Sequence[str], alpha: float, method: str) -> DataFrame:
+    """Adds p-value and verdict to rows (feature, statistic, n_new, n_base); features without any value get a row, too."""
+    names = measured.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    result = names.join(measured, "feature", "left").withColumns({n: F.coalesce(n, F.lit(0).cast("long")) for n in ("n_new", "n_base")})
+    sizes = F.col("statistic"), F.col("n_new"), F.col("n_base")
+    p = ks_exact_p(*sizes) if method == "exact" else ks_limit_p(*sizes, corrected=method == "corrected")
     return result.withColumn("p_value", p).withColumn("drifted", _drifted(alpha))
 
 
-def _new_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def new_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return long_values(df, features, {"new": F.lit(1), "base": F.lit(0)})
 
 
-def _base_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def base_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return long_values(df, features, {"new": F.lit(0), "base": F.lit(1)})
 
 
-def _new_categories(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def new_categories(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return _long_categories(df, features, 1, 0)
 
 
-def _base_categories(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def base_categories(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return _long_categories(df, features, 0, 1)
 
 
@@ -234,19 +198,19 @@ def _category_text(df: DataFrame, feature: str) -> Column:
     return c.cast("string")
 
 
-def _side_sums(long: DataFrame) -> DataFrame:
+def side_sums(long: DataFrame) -> DataFrame:
     return long.groupBy("feature", "category").agg(F.sum("new").alias("n_new"), F.sum("base").alias("n_base"))
 
 
-def _ks_rows(ks: DataFrame) -> DataFrame:
+def ks_rows(ks: DataFrame) -> DataFrame:
     return ks.withColumns({"kind": F.lit("ks"), "dof": F.lit(None).cast("long")}).select(*REPORT_COLUMNS)
 
 
-def _chi2_rows(chi2: DataFrame) -> DataFrame:
+def chi2_rows(chi2: DataFrame) -> DataFrame:
     return chi2.withColumn("kind", F.lit("chi2")).select(*REPORT_COLUMNS)
 
 
-def _one_report(parts: Sequence[DataFrame]) -> DataFrame:
+def one_report(parts: Sequence[DataFrame]) -> DataFrame:
     if not parts:
         raise ValueError("the tables share none of the features")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -2,14 +2,16 @@
 
 A window without partitions would sort the whole table in one task. Here equal values are first
 counted together, the counts are dealt by range into buckets, running counts are formed inside each
-bucket, and each bucket starts from the total of the buckets below it.
+bucket as it is dealt, and each bucket starts from the total of the buckets below it.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from tablewright.functions.columns import without_negative_zero
 
 # Distinct values that one task orders.
 ROWS_PER_BUCKET = 1_000_000
+# More buckets than these have their totals joined by a shuffle.
+BROADCAST_BUCKETS = 100_000
 
 
 def prefix_counts(
@@ -53,30 +57,21 @@ def long_values(df: DataFrame, values: Sequence[str], weights: Mapping[str, Colu
 def running_counts(long: DataFrame, weights: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``prefix_counts`` of rows that are already in the form of ``long_values``; they may be pre-counted.
 
-    The input is read once. A bucket holds about ``rows_per_bucket`` distinct values, of however many features.
+    The input is read once. A bucket holds about ``rows_per_bucket`` distinct values, of however many features. After the
+    counts, rows are shuffled once: sums run inside the range parts as they come.
     """
     sums = [F.sum(w).alias(w) for w in weights]
-    placed, buckets = _in_buckets(long.groupBy("feature", "value").agg(*sums), rows_per_bucket)
-    inside = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    running = placed.withColumns({f"{w}_upto": F.sum(w).over(inside) for w in weights})
-    if buckets == 1:
-        whole = Window.partitionBy("feature", "bucket")
-        return running.withColumns({f"{w}_total": F.sum(w).over(whole) for w in weights}).drop("bucket")
-    # One row per feature and bucket of ``rows_per_bucket`` values.
-    below = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    of_feature = Window.partitionBy("feature")
-    offsets = (
-        placed.groupBy("feature", "bucket")
-        .agg(*sums)
-        .select(
-            "feature",
-            "bucket",
-            *[F.coalesce(F.sum(w).over(below), F.lit(0)).alias(f"{w}_below") for w in weights],
-            *[F.sum(w).over(of_feature).alias(f"{w}_total") for w in weights],
-        )
-    )
-    # The window has partitioned and ordered the running side as a merge needs it; only the offsets move.
-    return running.join(offsets.hint("merge"), ["feature", "bucket"]).select(
+    counted = scratch.write_table(long.groupBy("feature", "value").agg(*sums), "value-counts")
+    buckets = max(1, math.ceil(counted.count() / rows_per_bucket))
+    parts = range_parts(counted, weights, buckets)
+    if buckets > 1:
+        # Stored, so that a value's bucket never changes when a task is retried.
+        parts = scratch.write_table(parts, "value-buckets")
+    offsets = part_offsets(parts, weights) if buckets > 1 else _totals(counted, weights)
+    # One row per feature and bucket: broadcast while these are few.
+    few = buckets <= BROADCAST_BUCKETS
+    joined = parts.join(F.broadcast(offsets) if few else offsets.hint("merge"), ["feature", "bucket"])
+    return joined.select(
         "feature",
         "value",
         *weights,
@@ -85,14 +80,56 @@ def running_counts(long: DataFrame, weights: Sequence[str], rows_per_bucket: int
     )
 
 
-def _in_buckets(counted: DataFrame, rows_per_bucket: int) -> tuple[DataFrame, int]:
-    """Distinct values with the number of their bucket, ascending with the value, and how many buckets there are.
+def range_parts(counted: DataFrame, weights: Sequence[str], buckets: int) -> DataFrame:
+    """Rows (feature, value, weights) dealt by range into ``buckets`` parts and ordered, with sums that run inside a part.
 
-    Each step is a stored table, so a value's bucket never changes when a task is retried.
+    Adds ``bucket``, the number of the part, ascending with feature and value, and ``<weight>_upto``.
     """
-    counted = scratch.write_table(counted, "value-counts")
-    buckets = max(1, math.ceil(counted.count() / rows_per_bucket))
-    if buckets == 1:
-        return counted.withColumn("bucket", F.lit(0)), 1
-    dealt = counted.repartitionByRange(buckets, "feature", "value").withColumn("bucket", F.spark_partition_id())
-    return scratch.write_table(dealt, "value-buckets"), buckets
+    dealt = counted.repartitionByRange(buckets, "feature", "value").sortWithinPartitions("feature", "value")
+    fields = ", ".join(f"{w} long" for w in weights) + ", bucket int, " + ", ".join(f"{w}_upto long" for w in weights)
+    ordered = dealt.select("feature", "value", *weights, F.spark_partition_id().alias("bucket"))
+    return ordered.mapInArrow(lambda batches: _running(batches, weights), f"feature string, value double, {fields}")
+
+
+def part_offsets(parts: DataFrame, weights: Sequence[str]) -> DataFrame:
+    """Per feature and bucket of ``range_parts``: the weights below the bucket, and the feature's total."""
+    below = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    of_feature = Window.partitionBy("feature")
+    sums = parts.groupBy("feature", "bucket").agg(*[F.sum(w).alias(w) for w in weights])
+    return sums.select(
+        "feature",
+        "bucket",
+        *[F.coalesce(F.sum(w).over(below), F.lit(0)).alias(f"{w}_below") for w in weights],
+        *[F.sum(w).over(of_feature).alias(f"{w}_total") for w in weights],
+    )
+
+
+def _totals(counted: DataFrame, weights: Sequence[str]) -> DataFrame:
+    """``part_offsets`` of a single bucket."""
+    totals = counted.groupBy("feature").agg(*[F.sum(w).alias(f"{w}_total") for w in weights])
+    return totals.withColumns({"bucket": F.lit(0), **{f"{w}_below": F.lit(0).cast("long") for w in weights}})
+
+
+def _running(batches: Iterator[pa.RecordBatch], weights: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Sums up to each row of its feature, over the ordered batches of one part."""
+    last, sums = None, np.zeros(len(weights), dtype=np.int64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        codes = batch.column(0).dictionary_encode()
+        numbers = codes.indices.to_numpy()
+        first = np.flatnonzero(np.diff(numbers, prepend=-1))
+        names = [codes.dictionary[int(numbers[i])].as_py() for i in first]
+        sizes = np.diff(first, append=batch.num_rows)
+        upto = []
+        for i in range(len(weights)):
+            run = np.cumsum(batch.column(2 + i).to_numpy())
+            # Each feature starts at 0; the first one of the batch may go on from the batch before.
+            start = np.concatenate(([0], run[first[1:] - 1]))
+            start[0] -= sums[i] if names[0] == last else 0
+            run = run - np.repeat(start, sizes)
+            upto.append(run)
+            sums[i] = run[-1]
+        last = names[-1]
+        columns = [*batch.columns, *(pa.array(u) for u in upto)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *(f"{w}_upto" for w in weights)])

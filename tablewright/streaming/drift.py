@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tablewright.operators.clean import align_to
-from tablewright.operators.drift import ALPHA, StoredBaseline, drift_verdict, retrain_gate
+from tablewright.operators.baseline import StoredBaseline
+from tablewright.operators.drift import ALPHA, drift_verdict, retrain_gate
 
 
 def batch_handler(

@@ -16,7 +16,7 @@ from tablewright.sources.runlog import Run, read_runs
 from tablewright.sources.tables import append_batch, from_rows, read_csv, write_csv
 from tablewright.streaming.drift import batch_handler, read_batches, stream_drift
 from tablewright.streaming.scoring import stream_score
-from tablewright.operators.drift import StoredBaseline
+from tablewright.operators.baseline import StoredBaseline
 
 REQUESTS = [
     dict(Pclass=1, Age=38.0, SibSp=1, Parch=0, Fare=71.2833, Sex="female", Embarked="C",
