@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm import text as tx
+from tablewright.scratch import write_table
 
 #: A benchmark is a stated query set that every task holds; a larger one has to be given in parts.
 MOST_ITEM_BYTES = 256 << 20
@@ -92,6 +93,41 @@ def _numbers(column: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.n
     return out, bounds
 
 
+def _kind(items: _Items) -> str:
+    """How word numbers are packed."""
+    return "<i2" if len(items.vocabulary) < 1 << 15 else "<i4"
+
+
+def numbered(source: DataFrame, items: _Items) -> DataFrame:
+    """Rows (doc_id, words): every word of a text as its number in the vocabulary, packed; -1 for words that no item has.
+
+    Stored, as all later passes read it and none has to cut and hash the words again.
+    """
+    kind = _kind(items)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tx.slices(batches, "text"):
+            numbers, bounds = _numbers(batch.column(1), items.vocabulary)
+            packed, edges = numbers.astype(kind).tobytes(), (bounds * np.dtype(kind).itemsize).tolist()
+            words = pa.array([packed[a:b] for a, b in zip(edges, edges[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), words], names=["doc_id", "words"])
+
+    return write_table(source.mapInArrow(run, "doc_id long, words binary"), "numbered")
+
+
+def _read(batches: Iterator[pa.RecordBatch], kind: str, limit: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Ids, word numbers and each text's bounds in them, for slices of at most ``limit`` words or of one text."""
+    size = np.dtype(kind).itemsize
+    for batch in batches:
+        lengths = pa.compute.binary_length(batch.column(1)).to_numpy(zero_copy_only=False) // size
+        bounds, start = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64))), 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(bounds, bounds[start] + limit, side="right")) - 1)
+            words = b"".join(batch.column(1).slice(start, end - start).to_pylist())
+            yield batch.column(0).slice(start, end - start), np.frombuffer(words, kind).astype(np.int32), bounds[start : end + 1] - bounds[start]
+            start = end
+
+
 def _blocks(bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """First words of all blocks of ``size`` words, none across texts, and each text's bounds in the blocks."""
     n = -(-np.diff(bounds) // size)
@@ -111,40 +147,88 @@ def _sum_rows(partials: DataFrame, width: int) -> np.ndarray:
         total = sum(np.frombuffer(x, "<f8") for x in table["x"].to_pylist())
         return pa.table({"n": table["n"][:1], "x": pa.array([total.tobytes()], pa.binary())})
 
-    table = partials.groupBy("n").applyInArrow(add, "n int, x binary").toArrow()
+    # In two steps, so that no task gets the matrices of all tasks.
+    few = partials.withColumn("part", F.pmod(F.xxhash64("x"), F.lit(64)).cast("int")).groupBy("n", "part").applyInArrow(add, "n int, x binary")
+    table = few.groupBy("n").applyInArrow(add, "n int, x binary").toArrow()
     out = np.zeros((max(table["n"].to_pylist(), default=-1) + 1, width))
     for n, x in zip(table["n"].to_pylist(), table["x"].to_pylist()):
         out[n] = np.frombuffer(x, "<f8")
     return out
 
 
+#: Words that are worked on at a time, and pairs of words that a task adds up before it multiplies them.
+_WORDS_TOGETHER, _MOST_PAIRS = 1 << 18, 1 << 21
+
+
+def _word_pairs(numbers: np.ndarray, bounds: np.ndarray, size: int, weights: np.ndarray, other: float, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of the passages' Gram matrix, without the factors that only depend on their row or column.
+
+    For all ordered pairs of known words in a block of ``block`` words (a word and itself, too): the number of the pair, and
+    one over the block's squared length.
+    """
+    first, _ = _blocks(bounds, block)
+    owner = np.searchsorted(first, np.arange(len(numbers)), side="right") - 1
+    known = numbers >= 0
+    squares = np.bincount(owner, weights=np.where(known, weights[numbers], other), minlength=len(first))
+    word, owner = numbers[known].astype(np.int64), owner[known]
+    pairs, shares = [word * size + word], [1 / squares[owner]]
+    for step in range(1, block):
+        together = owner[step:] == owner[:-step]
+        if not together.any():
+            break
+        a, b = word[:-step][together], word[step:][together]
+        share = 1 / squares[owner[step:][together]]
+        pairs += [a * size + b, b * size + a]
+        shares += [share, share]
+    return np.concatenate(pairs), np.concatenate(shares)
+
+
+def _added(pairs: np.ndarray, sums: np.ndarray, more: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by pair, in order of the pairs."""
+    pairs, sums = np.concatenate((pairs, more)), np.concatenate((sums, shares))
+    order = np.argsort(pairs)
+    pairs = pairs[order]
+    begin = np.flatnonzero(np.diff(pairs, prepend=-1))
+    return pairs[begin], np.add.reduceat(sums[order], begin) if len(begin) else sums
+
+
+def _multiply(pairs: np.ndarray, sums: np.ndarray, start: np.ndarray, out: np.ndarray) -> None:
+    """Adds the product of the sparse matrix of sums and ``start`` to ``out``."""
+    for at in range(0, len(pairs), 1 << 15):
+        row, column = np.divmod(pairs[at : at + (1 << 15)], len(start))
+        begin = np.flatnonzero(np.diff(row, prepend=-1))
+        out[row[begin]] += np.add.reduceat(start[column] * sums[at : at + (1 << 15), None].astype(np.float32), begin, axis=0)
+
+
 #: Rows of the vocabulary that travel together when the tasks' matrices are added.
 _ROWS_TOGETHER = 64
 
 
-def latent_space(source: DataFrame, items: _Items, spec: Decontamination) -> tuple[np.ndarray, np.ndarray]:
+def latent_space(rows: DataFrame, items: _Items, spec: Decontamination) -> tuple[np.ndarray, np.ndarray]:
     """IDF weights of the vocabulary, and the leading right singular vectors of all passages.
 
     The passages are all blocks of the corpus, as TF-IDF vectors of length one over the items' words. One pass counts the
-    texts that hold each word. A second one multiplies the passages' Gram matrix by a random matrix: each task adds up its own
-    product, and rows of these are added by Spark. From that sketch the Nystroem formula gives the singular vectors and
+    texts that hold each word. A second one multiplies the passages' Gram matrix by a random matrix: each task adds up the
+    entries of its own part of that matrix, by pairs of words that share a block, and multiplies them in bounded lots; rows of
+    the products are added by Spark. From that sketch the Nystroem formula gives the singular vectors and
     values, so the corpus is read only once for them. What travels is vocabulary times rank per task, whatever the task reads.
     """
     size = len(items.vocabulary)
 
+    kind = _kind(items)
+
     def texts_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = np.zeros(size, dtype=np.int64), 0
-        for batch in tx.slices(batches, "text"):
-            numbers, bounds = _numbers(batch.column(1), items.vocabulary)
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
+        for ids, numbers, bounds in _read(batches, kind, _WORDS_TOGETHER):
+            owner = np.repeat(np.arange(len(ids)), np.diff(bounds))
             known = numbers >= 0
             once = np.unique(owner[known] * size + numbers[known]) % size
             held += np.bincount(once, minlength=size)
-            n += batch.num_rows
+            n += len(ids)
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array([*some.tolist(), -1], pa.int32()), pa.array([*held[some].tolist(), n], pa.int64())], names=["n", "texts"])
 
-    counts = source.mapInArrow(texts_with, "n int, texts long").groupBy("n").agg(F.sum("texts").alias("texts")).toArrow()
+    counts = rows.mapInArrow(texts_with, "n int, texts long").groupBy("n").agg(F.sum("texts").alias("texts")).toArrow()
     found = dict(zip(counts["n"].to_pylist(), counts["texts"].to_pylist()))
     total = found.pop(-1, 0)
     texts = np.zeros(size)
@@ -156,33 +240,20 @@ def latent_space(source: DataFrame, items: _Items, spec: Decontamination) -> tup
     start, weights = (idf[:, None] * random).astype(np.float32), idf**2
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((size, rank))
-        for batch in tx.slices(batches, "text", 1 << 20):
-            numbers, bounds = _numbers(batch.column(1), items.vocabulary)
-            first, _ = _blocks(bounds, spec.block)
-            block = np.searchsorted(first, np.arange(len(numbers)), side="right") - 1
-            known = numbers >= 0
-            squares = np.bincount(block, weights=np.where(known, weights[numbers], other**2), minlength=len(first))
-            # Blocks with one known word tell nothing of words that occur together.
-            several = np.bincount(block[known], minlength=len(first)) > 1
-            known &= several[block] if len(block) else known
-            word, block = numbers[known], block[known]
-            if not len(word):
-                continue
-            begin = np.flatnonzero(np.diff(block, prepend=-1))
-            y = np.add.reduceat(start[word], begin, axis=0)
-            y /= squares[block[begin], None]
-            row = np.cumsum(np.diff(block, prepend=block[0]) > 0)
-            order = np.argsort(word, kind="stable")
-            begin = np.flatnonzero(np.diff(word[order], prepend=-1))
-            out[word[order][begin]] += np.add.reduceat(y[row[order]], begin, axis=0)
+        out, pairs, sums = np.zeros((size, rank)), np.zeros(0, np.int64), np.zeros(0)
+        for _, numbers, bounds in _read(batches, kind, _WORDS_TOGETHER):
+            pairs, sums = _added(pairs, sums, *_word_pairs(numbers, bounds, size, weights, other**2, spec.block))
+            if len(pairs) > _MOST_PAIRS:
+                _multiply(pairs, sums, start, out)
+                pairs, sums = pairs[:0], sums[:0]
+        _multiply(pairs, sums, start, out)
         out *= idf[:, None]
         some = [i for i in range(0, size, _ROWS_TOGETHER) if out[i : i + _ROWS_TOGETHER].any()]
         parts = [np.pad(out[i : i + _ROWS_TOGETHER], ((0, max(0, i + _ROWS_TOGETHER - size)), (0, 0))) for i in some]
         if some:
             yield pa.RecordBatch.from_arrays([pa.array([i // _ROWS_TOGETHER for i in some], pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["n", "x"])
 
-    summed = _sum_rows(source.mapInArrow(product, "n int, x binary"), _ROWS_TOGETHER * rank).reshape(-1, rank)
+    summed = _sum_rows(rows.mapInArrow(product, "n int, x binary"), _ROWS_TOGETHER * rank).reshape(-1, rank)
     sketch = np.zeros((size, rank))
     sketch[: min(size, len(summed))] = summed[:size]
     core = random.T @ sketch
@@ -316,9 +387,8 @@ def _copies(numbers: np.ndarray, bounds: np.ndarray, items: _Items, keep: _Filte
     return out
 
 
-def _search(column: pa.Array, items: _Items, project: np.ndarray, queries: np.ndarray, keep: _Filter, spec: Decontamination) -> dict[tuple[int, int], tuple]:
-    """The leaks in a column of texts: of a row and an item's number the best (common, answer, cosine)."""
-    numbers, bounds = _numbers(column, items.vocabulary)
+def _search(numbers: np.ndarray, bounds: np.ndarray, items: _Items, project: np.ndarray, queries: np.ndarray, keep: _Filter, spec: Decontamination) -> dict[tuple[int, int], tuple]:
+    """The leaks in texts of numbered words: of a row and an item's number the best (common, answer, cosine)."""
     first, block_bounds = _blocks(bounds, spec.block)
     best: dict[tuple[int, int], tuple] = {key: (1.0, 1.0, float(queries[key[1]].any())) for key in _copies(numbers, bounds, items, keep)}
     searched = keep.lengths >= spec.least
@@ -404,7 +474,8 @@ def leaks(
     items = _items(benchmark, spec, item_id, item_text)
     if not items.ids:
         return source.sparkSession.createDataFrame([], schema)
-    idf, space = latent_space(source, items, spec)
+    rows, kind = numbered(source, items), _kind(items)
+    idf, space = latent_space(rows, items, spec)
     project = (idf[:, None] * space).astype(np.float32)
     queries = np.stack([project[t].sum(axis=0) for t in items.tokens])
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
@@ -412,10 +483,9 @@ def leaks(
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, project, queries, keep = own.value
-        for batch in tx.slices(batches, "text", 2 << 20):
-            best = _search(batch.column(1), items, project, queries, keep, spec)
+        for ids, numbers, bounds in _read(batches, kind, _WORDS_TOGETHER):
+            best = _search(numbers, bounds, items, project, queries, keep, spec)
             if best:
-                ids = batch.column(0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([ids[r].as_py() for r, _ in best], pa.int64()), pa.array([items.ids[i] for _, i in best], pa.int64()),
@@ -424,6 +494,6 @@ def leaks(
                     names=["doc_id", "item_id", "cosine", "common", "answer"],
                 )
 
-    found = source.mapInArrow(search, schema)
+    found = rows.mapInArrow(search, schema)
     best = F.max(F.struct("common", "answer", "cosine")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.cosine", "best.common", "best.answer")
