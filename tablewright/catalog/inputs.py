@@ -139,6 +139,19 @@ def wide_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def write_lines(part: DataFrame, path: str) -> None:
+    """Parts as lines of a CSV, some of them malformed, by key arithmetic."""
+    line = F.expr(
+        "CASE WHEN p_partkey % 7 = 0 THEN concat(p_partkey, ',', p_name) "
+        "WHEN p_partkey % 11 = 0 THEN concat(p_partkey, ',', p_name, ',', p_size, ',more') "
+        "WHEN p_partkey % 13 = 0 THEN concat(p_partkey, ',', p_name, ',', p_name) "
+        "ELSE concat(p_partkey, ',', p_name, ',', p_size) END"
+    )
+    # One column under a separator that no line has, so that lines and header stand as they are.
+    lines = part.select(line.alias(",".join(part.columns)))
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0002").csv(path)
+
+
 def given_scores(spark: SparkSession, folder: str) -> DataFrame:
     """A tuning table made of the orders: priorities as families, key remainders as grid points."""
     point = (F.col("o_orderkey") % 5).cast("int")

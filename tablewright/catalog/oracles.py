@@ -80,7 +80,13 @@ checked AS (
   FROM orders
 )"""
 
-HASH = "((o_orderkey % 2147483648) * 2654435761) % 4294967296"
+def _hash(seed: int, key: str = "o_orderkey") -> str:
+    """The multiplicative hash: the key moved by the seed, multiplied, folded, multiplied."""
+    product = f"((({key} % 2147483648 + {seed * 668265263 % 2147483648}) % 2147483648) * 2654435761 % 4294967296)"
+    return f"((xor({product}, {product} >> 15) % 2147483648) * 2654435761 % 4294967296)"
+
+
+HASH, SPLIT_HASH, FOLD_HASH = _hash(42), _hash(43), _hash(44)
 
 PRICES = """
 SELECT 'l_extendedprice' AS feature, l_extendedprice AS value, count(*) AS n,
@@ -278,7 +284,7 @@ FROM orders WHERE o_orderkey % 17 <> 0
 RULE_MATRIX = f"""
 WITH held_out AS (
   SELECT CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS DOUBLE) AS label
-  FROM orders WHERE o_orderkey % 17 <> 0 AND {HASH} >= 0.8 * 4294967296
+  FROM orders WHERE o_orderkey % 17 <> 0 AND {SPLIT_HASH} >= 0.8 * 4294967296
 ),
 grid AS (SELECT CAST(a AS DOUBLE) AS label, CAST(b AS DOUBLE) AS prediction FROM range(2) x(a), range(2) y(b))
 SELECT g.label, g.prediction, count(h.label) AS n
@@ -309,6 +315,9 @@ ORACLES: dict[str, str] = {
     "csv_roundtrip": "SELECT * FROM part",
     "append_batch": f"""
 SELECT event_id, CASE WHEN ts < {CUT} THEN user_id END AS user_id, event_type, value FROM events
+""",
+    "append_batch_replayed": f"""
+SELECT event_id, CASE WHEN ts < {CUT} THEN user_id END AS user_id, event_type, value FROM events
 """,
     "tolerant_cast": f"WITH {EVENTS} SELECT event_id, TRY_CAST(raw_text AS DOUBLE) AS raw_text FROM events_v",
     "title_extract": r"""
@@ -391,11 +400,27 @@ UNION ALL SELECT 'o_orderpriority_domain', count(*), count(*) FILTER (WHERE b4)
 """,
     "hash_sample": f"SELECT o_orderkey, o_totalprice FROM orders WHERE {HASH} < 0.2 * 4294967296",
     "hash_split": f"""
-SELECT o_orderkey, CASE WHEN {HASH} < 0.8 * 4294967296 THEN 'train' ELSE 'test' END AS part FROM orders
+SELECT o_orderkey, CASE WHEN {SPLIT_HASH} < 0.8 * 4294967296 THEN 'train' ELSE 'test' END AS part FROM orders
 """,
     "sample_n": f"SELECT o_orderkey, o_totalprice FROM orders ORDER BY {HASH}, o_orderkey LIMIT 150",
+    "sample_n_large": f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
+ORDER BY {_hash(42, "l_orderkey")}, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
+LIMIT (SELECT count(*) // 2 FROM lineitem)
+""",
+    "csv_rejects": """
+WITH lines AS (
+  SELECT p_partkey, p_name, p_size, CASE WHEN p_partkey % 7 = 0 THEN concat(p_partkey, ',', p_name)
+    WHEN p_partkey % 11 = 0 THEN concat(p_partkey, ',', p_name, ',', p_size, ',more')
+    WHEN p_partkey % 13 = 0 THEN concat(p_partkey, ',', p_name, ',', p_name) END AS record
+  FROM part
+)
+SELECT CASE WHEN record IS NULL THEN 'row' ELSE 'reject' END AS kind, CASE WHEN record IS NULL THEN p_partkey END AS p_partkey,
+       CASE WHEN record IS NULL THEN p_name END AS p_name, CASE WHEN record IS NULL THEN p_size END AS p_size, record
+FROM lines
+""",
     "kfold_counts": f"""
-SELECT CAST(floor({HASH} / 4294967296.0 * 3) AS INTEGER) AS fold, count(*) AS n FROM orders GROUP BY 1
+SELECT CAST(floor({FOLD_HASH} / 4294967296.0 * 3) AS INTEGER) AS fold, count(*) AS n FROM orders GROUP BY 1
 """,
     "prefix_counts": PRICES,
     "prefix_counts_bucketed": PRICES,
@@ -525,7 +550,7 @@ WITH points(family, family_rank, point, params) AS (VALUES
 -- What the rule itself gets on the training rows that have a price: each class's F1, weighted by its rows.
 rows AS (
   SELECT o_orderpriority IN ('1-URGENT', '2-HIGH') AS y, o_orderpriority < '3' AS found FROM orders
-  WHERE {HASH} < 0.8 * 4294967296 AND o_orderkey % 17 <> 0
+  WHERE {SPLIT_HASH} < 0.8 * 4294967296 AND o_orderkey % 17 <> 0
 ),
 classes AS (
   SELECT c, count(*) FILTER (WHERE y = c AND found = c) AS tp, count(*) FILTER (WHERE found = c) AS told, count(*) FILTER (WHERE y = c) AS n
@@ -537,7 +562,7 @@ SELECT family, CAST(family_rank AS INTEGER) AS family_rank, CAST(point AS INTEGE
     "feature_importance_rule": f"""
 -- A tree splits off the positive priority with the larger gain, then the other one; both parts are pure then.
 WITH rows AS (
-  SELECT o_orderpriority FROM orders WHERE {HASH} < 0.8 * 4294967296 AND o_orderkey % 17 <> 0
+  SELECT o_orderpriority FROM orders WHERE {SPLIT_HASH} < 0.8 * 4294967296 AND o_orderkey % 17 <> 0
 ),
 counts AS (
   SELECT o_orderpriority, count(*) AS n, o_orderpriority IN ('1-URGENT', '2-HIGH') AS y, sum(count(*)) OVER () AS total FROM rows GROUP BY 1

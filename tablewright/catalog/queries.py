@@ -65,6 +65,30 @@ def append_batch(spark, folder):
     return spark.read.schema(first.schema).parquet(path)
 
 
+@query
+def append_batch_replayed(spark, folder):
+    """The same two batches, both replayed after a failure: the table holds one copy of each."""
+    rows = src.table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    path = scratch.new_path(spark, "appended")
+    before = F.col("ts") < F.lit(src.CUT)
+    first = rows.where(before).drop("ts")
+    second = rows.where(~before).select("value", F.col("event_id").cast("string").alias("event_id"), "event_type")
+    for number, batch in ((1, first), (2, second), (1, first), (2, second)):
+        tables.append_batch(batch, path, first.schema, batch_id=number)
+    return tables.read_appended(spark, path, first.schema)
+
+
+@query
+def csv_rejects(spark, folder):
+    """Parts as lines of text, some too short, too long or with a name for a number: rows and rejects are all lines."""
+    part = src.table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
+    path = scratch.new_path(spark, "csv")
+    src.write_lines(part, path)
+    rows, rejects = tables.read_csv_accounted(spark, path, part.schema, scratch.new_path(spark, "rejects"))
+    tagged = rows.withColumn("kind", F.lit("row"))
+    return tagged.unionByName(rejects.select("record", F.lit("reject").alias("kind")), allowMissingColumns=True)
+
+
 @query
 def append_rejects(spark, folder):
     """Rows of a batch that a table of 32-bit amounts can't hold, with the columns that don't fit."""
@@ -229,6 +253,14 @@ def sample_n(spark, folder):
     return sampling.sample_n(orders, "o_orderkey", 150, method="multiplicative")
 
 
+@query
+def sample_n_large(spark, folder):
+    """Half of all line items; those of one order share a hash."""
+    lines = src.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    others = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    return sampling.sample_n(lines, "l_orderkey", lines.count() // 2, method="multiplicative", order_by=others)
+
+
 @query
 def kfold_counts(spark, folder):
     orders = src.table(spark, folder, "orders").select("o_orderkey")
@@ -651,14 +683,20 @@ def score_skipped(spark, folder):
     return incomplete_rows(src.model_orders(spark, folder), src.ORDER_FEATURES).select("o_orderkey")
 
 
-@query
-def run_log(spark, folder):
-    path = scratch.new_path(spark, "runs")
-    with runlog.Run(spark, path, "evaluation") as run:
+def _logged(spark, folder, path, run_id):
+    with runlog.Run(spark, path, "evaluation", run_id=run_id) as run:
         run.params({"threshold": 1000})
         with run.child("areas") as child:
             child.metric_table(metrics.to_long(curves.areas(src.scored_documents(spark, folder), "score", "label")))
         run.metric_table(metrics.to_long(metrics.classification_metrics(_pairs(spark, folder))))
+
+
+@query
+def run_log(spark, folder):
+    """A run with a nested one, replayed under its id: one copy of both."""
+    path = scratch.new_path(spark, "runs")
+    for _ in range(2):
+        _logged(spark, folder, path, "evaluation-1")
     logged = runlog.read_runs(spark, path)
     return logged.select(
         F.col("parent_run_id").isNotNull().alias("nested"), "kind", "key", "text", rounded("number").alias("number")

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # The multiplicative (Knuth) hash on 32 bits.
 MULTIPLIER = 2654435761
 RANGE = 4294967296
+# An odd number that sets seeds apart.
+SEED_STEP = 668265263
 
 
 def key_hash(*keys: str, seed: int = 42) -> Column:
@@ -19,9 +21,16 @@ def key_hash(*keys: str, seed: int = 42) -> Column:
     return F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
 
 
-def multiplicative_hash(key: str) -> Column:
-    """32-bit hash of one integer key; plain arithmetic, so any SQL engine can repeat it."""
-    return F.pmod(F.pmod(F.col(key).cast("long"), F.lit(RANGE // 2)) * F.lit(MULTIPLIER), F.lit(RANGE))
+def multiplicative_hash(key: str, seed: int = 42) -> Column:
+    """32-bit hash of one integer key; plain arithmetic, so any SQL engine can repeat it.
+
+    The seed moves the key before it is multiplied and the product after its upper half was folded in, so that draws of
+    different seeds are not the same draw.
+    """
+    moved = F.pmod(F.pmod(F.col(key).cast("long"), F.lit(RANGE // 2)) + F.lit(seed * SEED_STEP % (RANGE // 2)), F.lit(RANGE // 2))
+    product = F.pmod(moved * F.lit(MULTIPLIER), F.lit(RANGE))
+    folded = F.pmod(product.bitwiseXOR(F.shiftright(product, 15)), F.lit(RANGE // 2))
+    return F.pmod(folded * F.lit(MULTIPLIER), F.lit(RANGE))
 
 
 def unit_from_hash(hashed: Column, bits: int) -> Column:
@@ -36,5 +45,5 @@ def unit_draw(*keys: str, seed: int = 42, method: str = "xxhash64") -> Column:
     if method == "multiplicative":
         if len(keys) != 1:
             raise ValueError("the multiplicative hash takes one integer key")
-        return F.coalesce(unit_from_hash(multiplicative_hash(keys[0]), 32), F.lit(0.0))
+        return F.coalesce(unit_from_hash(multiplicative_hash(keys[0], seed), 32), F.lit(0.0))
     raise ValueError(f"unknown hash method {method!r}")

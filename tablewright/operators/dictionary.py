@@ -6,21 +6,18 @@ leaves the executors; the indices and vectors are the same.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tablewright import scratch
 from tablewright.functions.columns import missing
 from tablewright.operators.impute import BROADCAST_BYTES, TARGET_ROWS, join_group_stats
-
-# Categories that one task orders.
-ROWS_PER_PART = 1_000_000
+from tablewright.operators.order import ROWS_PER_PART, with_place
 
 
 @dataclass(frozen=True)
@@ -35,24 +32,13 @@ class Dictionary:
 def build_dictionary(df: DataFrame, column: str, rows_per_part: int = ROWS_PER_PART) -> Dictionary:
     """Categories (as text) by falling number of rows, ties by name, numbered from 0. Nulls are no category.
 
-    The counts are dealt by range, so each part holds a stretch of the order; a category's index is its place in its
-    part, plus the rows of the parts before.
+    The counts are put in order by range (see ``with_place``); a category's index is its place.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("category"))
     stored = scratch.write_table(counts.agg(F.count(F.lit(1)).alias("n_rows")), "category-counts")
     size = stored.count()
-    order = [F.desc("n_rows"), F.asc("category")]
-    dealt = stored.repartitionByRange(max(1, math.ceil(size / rows_per_part)), *order).sortWithinPartitions(*order)
-    # The id holds the number of the part above 33 bits of the place in it. Stored, it can't change on a retry.
-    place = F.monotonically_increasing_id()
-    placed = scratch.write_table(dealt.withColumn("place", place), "category-places")
-    part = F.shiftright("place", 33)
-    # One row per part of ``rows_per_part`` categories.
-    below = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(below, F.lit(0)).alias("below"))
-    numbered = placed.withColumn("part", part).join(F.broadcast(offsets), "part")
-    idx = F.col("below") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
-    return Dictionary(column, scratch.write_table(numbered.select("category", idx.alias("idx"), "n_rows"), "dictionary"), size)
+    numbered = with_place(stored, [F.desc("n_rows"), F.asc("category")], size, "idx", rows_per_part)
+    return Dictionary(column, scratch.write_table(numbered.select("category", "idx", "n_rows"), "dictionary"), size)
 
 
 def with_index(

@@ -1,4 +1,7 @@
-"""Run log: parameters, tags and metrics of (nested) runs in one append-only table."""
+"""Run log: parameters, tags and metrics of (nested) runs in one table, a partition per run.
+
+A run that is repeated under its id (a replay after a failure) replaces what it had written.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +18,10 @@ SCHEMA = "run_id string, parent_run_id string, kind string, key string, text str
 
 @dataclass
 class Run:
-    """One run. Entries are kept until ``close`` appends them to the table in one write."""
+    """One run. Entries are kept until ``close`` writes them to the run's partition of the table in one go.
+
+    Give a ``run_id`` to make the run repeatable; its children's ids follow from it, their names and their order.
+    """
 
     spark: SparkSession
     path: str
@@ -24,9 +30,12 @@ class Run:
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     _rows: list[tuple] = field(default_factory=list)
     _frames: list[DataFrame] = field(default_factory=list)
+    _children: int = 0
 
     def child(self, name: str) -> Run:
-        return Run(self.spark, self.path, name, self)
+        self._children += 1
+        own = uuid.uuid5(uuid.NAMESPACE_OID, f"{self.run_id}/{self._children}/{name}").hex
+        return Run(self.spark, self.path, name, self, own)
 
     def params(self, values: Mapping[str, object]) -> None:
         self._add("param", {k: str(v) for k, v in values.items()})
@@ -57,7 +66,8 @@ class Run:
         out = self.spark.createDataFrame(self._rows, SCHEMA).coalesce(1)
         for frame in self._frames:
             out = out.unionByName(frame)
-        out.write.mode("append").parquet(self.path)
+        # Only this run's partition is exchanged, once all its files are there.
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(self.path)
         self._rows, self._frames = [], []
 
     def __enter__(self) -> Run:
@@ -76,7 +86,8 @@ class Run:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).parquet(path)
+    names = spark.createDataFrame([], SCHEMA).columns
+    return spark.read.schema(SCHEMA).parquet(path).select(*names)
 
 
 def _now() -> datetime.datetime:

@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
-from tablewright.operators.sampling import bernoulli_sample, hash_sample, hash_split, random_split, sample_n, with_fold
+from tablewright.functions.hashing import key_hash, multiplicative_hash
+from tablewright.operators.sampling import SAMPLE_SEED, bernoulli_sample, hash_sample, hash_split, random_split, sample_n, with_fold
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +51,38 @@ def test_keyless_sample_and_split(keyed):
     assert 0.17 < bernoulli_sample(keyed, 0.2).count() / 20_000 < 0.23
     first, second = random_split(keyed, [0.8, 0.2])
     assert first.count() + second.count() == 20_000
+
+
+@pytest.mark.parametrize("n", [1, 777, 10_000, 19_999, 20_000, 30_000, 0])
+@pytest.mark.parametrize("method", ["xxhash64", "multiplicative"])
+def test_samples_of_any_size_hold_the_smallest_hashes(spark, keyed, n, method):
+    hashed = key_hash("k", seed=SAMPLE_SEED) if method == "xxhash64" else multiplicative_hash("k", SAMPLE_SEED)
+    expected = sorted((r["h"], r["k"]) for r in keyed.select("k", hashed.alias("h")).collect())[:n]
+    found = sample_n(keyed.repartition(5), "k", n, method=method, few=50)
+    assert sorted(r["k"] for r in found.collect()) == sorted(k for _, k in expected)
+
+
+def test_samples_that_cut_through_equal_keys_and_rows(spark, rows):
+    """A hot key, null keys and equal rows: always exactly n rows, by the given order."""
+    df = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 5 = 0 THEN NULL ELSE id END AS k", "id % 100 AS v", "id % 2 AS _place")
+    for method in ("xxhash64", "multiplicative"):
+        for n in (50, 300, 450, 899):
+            found = sample_n(df, "k", n, method=method, order_by=["v"], few=10)
+            assert found.columns == df.columns and found.count() == n and found.exceptAll(df).isEmpty()
+            assert rows(found) == rows(sample_n(df.repartition(7), "k", n, method=method, order_by=["v"], few=100_000))
+    assert sample_n(df.where("false"), "k", 5).count() == 0
+
+
+def test_no_task_gathers_a_large_sample(spark):
+    parts = sample_n(spark.range(40_000).repartition(8), "id", 20_000, few=100).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) < 4_000
+
+
+def test_draws_of_different_seeds_differ_under_either_hash(keyed):
+    for method in ("xxhash64", "multiplicative"):
+        training, _ = hash_split(keyed, "k", [0.8, 0.2], method=method)
+        counts = [r["count"] for r in with_fold(training, "k", 3, method=method).groupBy("fold").count().collect()]
+        assert len(counts) == 3 and max(counts) / min(counts) < 1.1
+        sampled = hash_sample(keyed, "k", 0.2, method=method)
+        kept = hash_split(sampled, "k", [0.5, 0.5], method=method)[0].count()
+        assert 0.45 < kept / sampled.count() < 0.55
