@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -100,8 +101,9 @@ def scan(documents: DataFrame, spec: LicenseScan = LicenseScan(), id_column: str
     """One row per input row: doc_id, n_words, places array<(label, start, length)>, spans array<(label, start, end, share)>.
 
     Words are runs of letters, digits and all non-ASCII characters, A-Z as a-z. ``places`` are all places of the phrases,
-    overlapping ones too; ``spans`` the best chain of matches for each template that it covers enough of, as words
-    [start, end) and the covered share. Words that no template has break a match, so only runs of known words are streamed
+    overlapping ones too, whatever their length; ``spans`` the chains of matches that cover enough of a template, as words
+    [start, end) and the covered share: of chains of one template that overlap, the best. Equal chains: the earlier
+    one. Texts of any length are streamed as a whole. Words that no template has break a match, so only runs of known words are streamed
     through the automaton. Null and empty texts have no words; repeated rows and null ids have their rows.
     """
     names = [label for _, label in (*spec.phrases, *spec.templates)]
@@ -160,8 +162,9 @@ def scan(documents: DataFrame, spec: LicenseScan = LicenseScan(), id_column: str
 
 def _stream(automaton: SuffixAutomaton, ids: list[int], at: int, tokens: list, n_phrases: int, least: int, names: list[str], places: list, matches: list) -> None:
     """Collects one run's phrase places and its matches of templates, each where it can't be made longer to the right along its own template."""
+    shortest = min([len(t) for t in tokens[:n_phrases]] + [least])
     for i, (length, state) in enumerate(automaton.statistics(ids)):
-        if length < least:
+        if length < shortest:
             continue
         following = ids[i + 1] if i + 1 < len(ids) else -1
         # All suffixes of the match are in the places of the state and of the states its links lead to.
@@ -179,12 +182,15 @@ def _stream(automaton: SuffixAutomaton, ids: list[int], at: int, tokens: list, n
                 elif reach >= least and (position + 1 == size or tokens[number][position + 1] != following):
                     matches.append((number, at + i + 1, position + 1, reach))
             length, state = automaton.length[automaton.link[state]], automaton.link[state]
-            if length < least:
+            if length < shortest:
                 break
 
 
 def _chains(matches: list, tokens: list, n_phrases: int, names: list[str], spec: LicenseScan) -> list:
-    """For each template the chain of matches, in order in text and template, that covers most of its words."""
+    """For each template the chains of matches, in order in text and template, that cover enough of its words.
+
+    The best chain is found up to each match. The best of all stands; then the next best that overlaps none that stand.
+    """
     out = []
     for number in range(n_phrases, len(tokens)):
         own = sorted((end, stop, size) for n, end, stop, size in matches if n == number)
@@ -200,12 +206,16 @@ def _chains(matches: list, tokens: list, n_phrases: int, names: list[str], spec:
                 if new > 0 and end - new - before_end <= spec.gap and best[j][0] + new > top[0]:
                     top = (best[j][0] + new, best[j][1])
             best.append(top)
-        if best:
-            i = max(range(len(best)), key=lambda k: best[k][0])
-            share = min(1.0, best[i][0] / len(tokens[number]))
-            if share >= spec.cover:
-                out.append({"label": names[number], "start": best[i][1], "end": own[i][0], "share": share})
-    return out
+        enough = [(-cover, own[i][0], start) for i, (cover, start) in enumerate(best) if min(1.0, cover / len(tokens[number])) >= spec.cover]
+        starts, ends = [], []  # of the spans that stand, in order
+        for cover, end, start in sorted(enough):
+            at = bisect.bisect_left(ends, start + 1)
+            if at < len(starts) and starts[at] < end:
+                continue
+            starts.insert(at, start)
+            ends.insert(at, end)
+            out.append({"label": names[number], "start": start, "end": end, "share": min(1.0, -cover / len(tokens[number]))})
+    return sorted(out, key=lambda s: (s["start"], s["end"], s["label"]))
 
 
 def digest(found: DataFrame) -> DataFrame:

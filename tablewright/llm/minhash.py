@@ -20,15 +20,14 @@ class NearDuplicates:
     """``shingle`` words a shingle; documents link at ``percent`` % Jaccard similarity or more.
 
     A signature has ``bands * rows`` slots. With the defaults a pair at exactly 80 % shares no band with probability 5e-5.
-    ``slack`` is how far, in percent, a signature's estimate may lie below ``percent`` before a pair outside every star is
-    left unverified; 12 is 3.4 standard errors. ``tile`` bounds the documents that one task compares at a time.
+    Every pair that shares a band is verified, unless its groups are joined already. ``tile`` bounds the documents that one
+    task compares at a time.
     """
 
     shingle: int = 5
     percent: int = 80
     bands: int = 25
     rows: int = 5
-    slack: int = 12
     tile: int = 1024
 
     @property
@@ -188,47 +187,41 @@ def _across(rest: DataFrame, spec: NearDuplicates) -> DataFrame:
     """Links (a, b) between classes of one bucket but different groups.
 
     Every bucket is cut into tiles of about ``spec.tile`` classes; each pair of tiles is one group of rows for one task.
-    Signatures rule most pairs out; the others are verified on full sets at once, so that only links leave the task. A
-    pair that meets in several buckets is looked at in its first band alone, and not again once its groups are joined.
+    Only pairs across groups are looked at, and not again once their groups are joined; a pair that meets in several buckets
+    is looked at in its first band alone. Every such pair is verified on full sets at once, so that only links leave the task.
     """
     tiles = F.ceil(F.col("members") / spec.tile).cast("int")
     own = F.pmod(F.xxhash64("key"), tiles).cast("int")
     columns = ["bucket", "band", "key", "n", "root", "signature", "elements"]
     placed = rest.select(*columns, own.alias("tile"), F.explode(F.sequence(F.lit(0), tiles - 1)).alias("facing"))
     placed = placed.withColumns({"x": F.least("tile", "facing"), "y": F.greatest("tile", "facing")}).drop("facing")
-    least_equal = (spec.percent - spec.slack) * spec.slots / 100
 
     def compare(table: pa.Table) -> pa.Table:
         keys, sides, n = table["key"].to_pylist(), table["tile"].to_numpy(), table["n"].to_numpy()
         elements = table["elements"].combine_chunks()
         bounds, values = elements.offsets.to_numpy(), elements.values.to_numpy()
-        root_of = {k: k for k in table["root"].to_pylist()}
-        roots = table["root"].to_pylist()
+        _, group = np.unique(np.array(table["root"].to_pylist(), dtype=object), return_inverse=True)
         signatures = np.stack([np.frombuffer(s, dtype="<u2") for s in table["signature"].to_pylist()])
         x, y, band = (table[c][0].as_py() for c in ("x", "y", "band"))
         right = np.flatnonzero(sides != x) if x != y else np.arange(len(keys))
 
-        def find(k: bytes) -> bytes:
-            while root_of[k] != k:
-                root_of[k] = k = root_of[root_of[k]]
-            return k
-
         out_a, out_b = [], []
         for i in np.flatnonzero(sides == x):
             near = right[right > i] if x == y else right
+            near = near[group[near] != group[i]]
             near = near[100 * np.minimum(n[near], n[i]) >= spec.percent * np.maximum(n[near], n[i])]
-            equal = signatures[near] == signatures[i]
-            chosen = equal.sum(axis=1) >= least_equal
-            near, equal = near[chosen], equal[chosen]
-            near = near[equal.reshape(len(near), spec.bands, spec.rows).all(axis=2).argmax(axis=1) == band]
+            if not len(near):
+                continue
+            equal = (signatures[near] == signatures[i]).reshape(len(near), spec.bands, spec.rows).all(axis=2)
+            near = near[equal.argmax(axis=1) == band]
             mine = values[bounds[i] : bounds[i + 1]]
             for j in near:
-                p, q = find(roots[i]), find(roots[j])
-                if p == q:
+                if group[i] == group[j]:
                     continue
-                common = len(np.intersect1d(mine, values[bounds[j] : bounds[j + 1]], assume_unique=True))
+                theirs = values[bounds[j] : bounds[j + 1]]
+                common = len(np.intersect1d(mine, theirs, assume_unique=True))
                 if 100 * common >= spec.percent * (n[i] + n[j] - common):
-                    root_of[max(p, q)] = min(p, q)
+                    group[group == group[j]] = group[i]
                     out_a.append(min(keys[i], keys[j]))
                     out_b.append(max(keys[i], keys[j]))
         return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})

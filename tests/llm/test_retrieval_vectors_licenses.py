@@ -170,3 +170,33 @@ def test_automaton_statistics_like_brute_force():
             if length:
                 own = tuple(stream[i + 1 - length : i + 1])
                 assert automaton.places[state] == {(k, p) for k, s in enumerate(sequences) for p in range(len(s)) if tuple(s[max(0, p + 1 - length) : p + 1]) == own}
+
+
+def test_phrases_of_one_and_two_words(spark):
+    phrases = (("mit license", "mit"), ("unlicense", "un"), ("mit license x", "x"))
+    text = "MIT license, the unlicense mit license x unlicense"
+    df = spark.createDataFrame([(1, text), (2, "mit licenses"), (3, "unlicense")], "doc_id long, text string")
+    found = {r.doc_id: sorted((p.label, p.start, p.length) for p in r.places) for r in licenses.scan(df, licenses.LicenseScan(phrases=phrases)).collect()}
+    assert found == {1: [("mit", 0, 2), ("mit", 4, 2), ("un", 3, 1), ("un", 7, 1), ("x", 4, 3)], 2: [], 3: [("un", 0, 1)]}
+
+
+def test_every_copy_of_a_template_has_its_span(spark):
+    """All chains, as a plain search over the words says: whole copies, and one with a word in between."""
+    line = licenses.TEMPLATES["apache-2-line"]
+    words = line.split()
+    broken = " ".join([*words[:5], "zzz", *words[5:]])
+    texts = [f"{line} {line}", f"x {line} y {line} z " * 3, f"{broken} and {line}", " ".join(words[: len(words) // 3]), ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [(s.start, s.end, round(s.share, 3)) for s in r.spans if s.label == "apache-2-line"] for r in licenses.scan(df).collect()}
+    own = brute.license_places(line, ())[0]
+    for i, text in enumerate(texts):
+        whole = [start for start, _ in brute.license_places(text, [(" ".join(brute_words(line)), "x")])[1]]
+        assert [s for s, e, share in found[i] if share == 1.0 and e - s == own] == whole
+    assert len(found[1]) == 6 and len(found[2]) == 2 and found[2][0][0] == 0 and found[2][0][1] > 5
+    assert found[3] == [] and found[4] == []
+
+
+def brute_words(text):
+    import re
+
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.lower(text))
