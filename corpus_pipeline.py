@@ -31,22 +31,29 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumn("n_chars", n_chars).select(*COLUMNS)
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """The documents with a number for each row, stored: decisions are made by row, as ids can be null or repeated."""
+    return write_table(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_key")), "rows")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest doc_id. Rows without a doc_id all stay.
+    """One row of each group of near duplicates: that of the smallest doc_id (rows without a doc_id come last).
 
-    Of repeated rows of a kept doc_id and text one stays, chosen by the other columns.
+    Groups are made of rows, so repeated rows and rows without a doc_id are compared like all others. Shingles have five
+    words here; the query of the operator has four.
     """
-    docs = docs.select(*COLUMNS)
-    found = near_duplicates(docs)
-    kept = found.where("doc_id IS NOT NULL AND kept").select("doc_id").distinct()
-    with_id = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return with_id.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
+    rows = with_row_key(docs)
+    groups = near_duplicates(rows.select("row_key", "text"), id_column="row_key").select(F.col("doc_id").alias("row_key"), "component_id")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    kept = rows.select("row_key", "doc_id").join(groups, "row_key").groupBy("component_id").agg(F.min_by("row_key", place).alias("row_key"))
+    return rows.join(kept.select("row_key"), "row_key", "left_semi").select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(found, "doc_id", "left_anti").select(*COLUMNS)
+    """Rows without a passage of the benchmark, whatever their doc_id."""
+    rows = with_row_key(docs)
+    found = leaks(rows.select("row_key", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_column="row_key")
+    return rows.join(found.select(F.col("doc_id").alias("row_key")).distinct(), "row_key", "left_anti").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
