@@ -123,3 +123,15 @@ def test_pipeline_packs_what_the_stages_keep(spark):
         before = after
     packed = corpus_pipeline.pack_sequences(spark, docs, FOLDER)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == before
+
+
+def test_stages_decide_by_row_also_without_ids_or_with_repeated_ones(spark):
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").first().text
+    body = " ".join(f"word{i} plain{i * 7}" for i in range(60))
+    rows = [(5, body), (None, body + " tail"), (5, "another text under the same id " * 5), (3, body), (None, "short"), (None, f"before {item} after"), (7, f"{item}"), (7, "clean row of the same id")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER).collect()
+    assert sorted(r.text[:9] for r in kept) == sorted([body[:9], "another t", "short", item[:9], "clean row"])  # of the two with the item, that with an id
+    assert [r.doc_id for r in kept if r.text == body] == [3]
+    left = {(r.doc_id, r.text[:9]) for r in corpus_pipeline.drop_leaks(spark, docs, FOLDER).collect()}
+    assert left == {(d, t[:9]) for d, t in rows if item not in t}
