@@ -163,41 +163,54 @@ _WORDS_TOGETHER, _MOST_PAIRS = 1 << 18, 1 << 21
 def _word_pairs(numbers: np.ndarray, bounds: np.ndarray, size: int, weights: np.ndarray, other: float, block: int) -> tuple[np.ndarray, np.ndarray]:
     """Entries of the passages' Gram matrix, without the factors that only depend on their row or column.
 
-    For all ordered pairs of known words in a block of ``block`` words (a word and itself, too): the number of the pair, and
-    one over the block's squared length.
+    For all pairs of known words in a block of ``block`` words, the smaller one first, and for each word with itself: the
+    number of the pair, and one over the block's squared length. Equal words at two places count twice, for both orders.
     """
     first, _ = _blocks(bounds, block)
-    owner = np.searchsorted(first, np.arange(len(numbers)), side="right") - 1
-    known = numbers >= 0
-    squares = np.bincount(owner, weights=np.where(known, weights[numbers], other), minlength=len(first))
+    owner = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(first, append=len(numbers)))
+    known = np.flatnonzero(numbers >= 0)
+    squares = np.bincount(owner, weights=np.append(weights, other)[numbers], minlength=len(first))
     word, owner = numbers[known].astype(np.int64), owner[known]
-    pairs, shares = [word * size + word], [1 / squares[owner]]
+    share = 1 / squares[owner]
+    pairs, shares = [word * size + word], [share]
     for step in range(1, block):
-        together = owner[step:] == owner[:-step]
-        if not together.any():
+        together = np.flatnonzero(owner[step:] == owner[:-step])
+        if not len(together):
             break
-        a, b = word[:-step][together], word[step:][together]
-        share = 1 / squares[owner[step:][together]]
-        pairs += [a * size + b, b * size + a]
-        shares += [share, share]
+        a, b = word[together], word[together + step]
+        pairs.append(np.minimum(a, b) * size + np.maximum(a, b))
+        shares.append(share[together] * np.where(a == b, 2.0, 1.0))
     return np.concatenate(pairs), np.concatenate(shares)
 
 
-def _added(pairs: np.ndarray, sums: np.ndarray, more: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _order(keys: np.ndarray) -> np.ndarray:
+    """An order of whole numbers, by 16 bits at a time (numpy sorts these by counting)."""
+    order, top = None, int(keys.max(initial=0))
+    for shift in range(0, max(top.bit_length(), 1), 16):
+        digit = (keys >> shift & 0xFFFF).astype(np.uint16)
+        order = np.argsort(digit, kind="stable") if order is None else order[np.argsort(digit[order], kind="stable")]
+    return order
+
+
+def _added(pairs: list[np.ndarray], shares: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sums by pair, in order of the pairs."""
-    pairs, sums = np.concatenate((pairs, more)), np.concatenate((sums, shares))
-    order = np.argsort(pairs)
-    pairs = pairs[order]
-    begin = np.flatnonzero(np.diff(pairs, prepend=-1))
-    return pairs[begin], np.add.reduceat(sums[order], begin) if len(begin) else sums
+    keys, values = np.concatenate(pairs), np.concatenate(shares)
+    order = _order(keys)
+    keys = keys[order]
+    begin = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[begin], np.add.reduceat(values[order], begin) if len(begin) else values
 
 
 def _multiply(pairs: np.ndarray, sums: np.ndarray, start: np.ndarray, out: np.ndarray) -> None:
-    """Adds the product of the sparse matrix of sums and ``start`` to ``out``."""
-    for at in range(0, len(pairs), 1 << 15):
-        row, column = np.divmod(pairs[at : at + (1 << 15)], len(start))
-        begin = np.flatnonzero(np.diff(row, prepend=-1))
-        out[row[begin]] += np.add.reduceat(start[column] * sums[at : at + (1 << 15), None].astype(np.float32), begin, axis=0)
+    """Adds the product of the symmetric matrix of sums and ``start`` to ``out``."""
+    low, high = np.divmod(pairs, len(start))
+    apart = np.flatnonzero(low != high)
+    mirrored = apart[_order(high[apart])]
+    for row, column, share in ((low, high, sums), (high[mirrored], low[mirrored], sums[mirrored])):
+        for at in range(0, len(row), 1 << 14):
+            part = slice(at, at + (1 << 14))
+            begin = np.flatnonzero(np.diff(row[part], prepend=-1))
+            out[row[part][begin]] += np.add.reduceat(start[column[part]] * share[part, None].astype(np.float32), begin, axis=0)
 
 
 #: Rows of the vocabulary that travel together when the tasks' matrices are added.
@@ -240,13 +253,26 @@ def latent_space(rows: DataFrame, items: _Items, spec: Decontamination) -> tuple
     start, weights = (idf[:, None] * random).astype(np.float32), idf**2
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, pairs, sums = np.zeros((size, rank)), np.zeros(0, np.int64), np.zeros(0)
+        out, pairs, shares, waiting = np.zeros((size, rank)), [], [], 0
+
+        def summed(whole: bool) -> None:
+            """Adds up what waits, and multiplies it if it is much, or at the end."""
+            nonlocal pairs, shares, waiting
+            keys, sums = _added(pairs, shares)
+            if whole or len(keys) > _MOST_PAIRS // 2:
+                _multiply(keys, sums, start, out)
+                keys, sums = keys[:0], sums[:0]
+            pairs, shares, waiting = [keys], [sums], len(keys)
+
         for _, numbers, bounds in _read(batches, kind, _WORDS_TOGETHER):
-            pairs, sums = _added(pairs, sums, *_word_pairs(numbers, bounds, size, weights, other**2, spec.block))
-            if len(pairs) > _MOST_PAIRS:
-                _multiply(pairs, sums, start, out)
-                pairs, sums = pairs[:0], sums[:0]
-        _multiply(pairs, sums, start, out)
+            more, own = _word_pairs(numbers, bounds, size, weights, other**2, spec.block)
+            pairs.append(more)
+            shares.append(own)
+            waiting += len(more)
+            if waiting > _MOST_PAIRS:
+                summed(False)
+        if waiting:
+            summed(True)
         out *= idf[:, None]
         some = [i for i in range(0, size, _ROWS_TOGETHER) if out[i : i + _ROWS_TOGETHER].any()]
         parts = [np.pad(out[i : i + _ROWS_TOGETHER], ((0, max(0, i + _ROWS_TOGETHER - size)), (0, 0))) for i in some]
@@ -421,6 +447,9 @@ def _search(numbers: np.ndarray, bounds: np.ndarray, items: _Items, project: np.
             # of these already.
             room = np.where(end - own > n // 2, known[edges[wide_to]] - known[edges[wide_from]], 0)
             windows.append((0 if n <= max(spec.windows) else n * spec.block // 4, own, end, wide_from, wide_to, room))
+        # The windows of every block share their starts: around all of them stands what any one of them can hold.
+        shared = [w for w in windows if w[0] == 0]
+        around_from, around_to = np.minimum.reduce([w[3] for w in shared]) - low, np.maximum.reduce([w[4] for w in shared]) - low
         for item in alive.tolist():
             lines = line[keep.words[item]]
             rare = line[keep.rare[keep.starts[item] : keep.starts[item + 1]]]
@@ -428,10 +457,12 @@ def _search(numbers: np.ndarray, bounds: np.ndarray, items: _Items, project: np.
             if len(rare) < keep.needed[item]:
                 continue
             met = np.concatenate(([0], np.cumsum(table[rare].sum(axis=0, dtype=np.int32))))
+            near = np.flatnonzero(met[around_to] - met[around_from] >= keep.needed[item])
             for shortest, at, end, wide_from, wide_to, room in windows:
                 if keep.lengths[item] <= shortest:
                     break
-                rows = np.flatnonzero((met[wide_to - low] - met[wide_from - low] >= keep.needed[item]) & (room >= spec.common * keep.lengths[item]))
+                rows = near if shortest == 0 else np.arange(len(at))
+                rows = rows[(met[wide_to[rows] - low] - met[wide_from[rows] - low] >= keep.needed[item]) & (room[rows] >= spec.common * keep.lengths[item])]
                 if len(rows):
                     rows = rows[_shared(table, lines, wide_from[rows] - low, wide_to[rows] - low, keep.times[item]) >= spec.common * keep.lengths[item]]
                 for i in rows.tolist():
