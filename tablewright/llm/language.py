@@ -22,8 +22,8 @@ class LanguageFilters:
     """Settings, and after :func:`fit` the languages and the filters.
 
     Runs of four bytes of the lower-cased text, with all but letters as spaces, are the n-grams. ``slots`` (a power of
-    two) and ``hashes`` size the Bloom filters; the filters of up to 64 languages lie side by side, one bit each in the
-    number of a slot. An n-gram enters a language's filter if its rate there is at least ``share`` of its highest rate in
+    two) and ``hashes`` size the Bloom filters; the filters of all languages lie side by side, one bit each in the
+    numbers of a slot (64 languages a number, as many numbers as it takes). An n-gram enters a language's filter if its rate there is at least ``share`` of its highest rate in
     any language, so that quotations don't make another language's words its own. At most about ``train_rows`` labelled
     rows are read to fit.
     """
@@ -90,39 +90,45 @@ def fit(documents: DataFrame, spec: LanguageFilters = LanguageFilters(), text: s
             )
 
     counts = rows.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).sort("lang").limit(65).collect()}
-    if len(totals) > 64:
-        raise ValueError("more than 64 languages")
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).sort("lang").collect()}
     if not totals:
         return spec
     languages = tuple(sorted(totals))
+    # The commonest language first, for it wins ties.
+    common = languages.index(max(languages, key=lambda k: totals[k]))
+    languages = languages[common:] + languages[:common]
+    words = [f"mask_{w}" for w in range(-(-len(languages) // 64))]
+
+    def bits(word: int):
+        def held(mask, x):
+            here = (x.rate >= spec.share * F.col("top")) & (F.floor(x.i / 64) == word)
+            return mask.bitwiseOR(F.when(here, F.call_function("shiftleft", F.lit(1).cast("long"), x.i - 64 * word)).otherwise(F.lit(0).cast("long")))
+
+        return F.aggregate("all", F.lit(0).cast("long"), held)
+
     number = F.create_map(*[x for i, k in enumerate(languages) for x in (F.lit(k), F.lit(i))])
     total = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(float(totals[k])))])
     rated = counts.where(f"n >= {spec.least}").select("code", number[F.col("lang")].alias("i"), (F.col("n") / total[F.col("lang")]).alias("rate"))
     masks = (
         rated.groupBy("code")
         .agg(F.max("rate").alias("top"), F.collect_list(F.struct("i", "rate")).alias("all"))
-        .select("code", F.aggregate("all", F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(F.when(x.rate >= spec.share * F.col("top"), F.call_function("shiftleft", F.lit(1).cast("long"), x.i)).otherwise(F.lit(0).cast("long")))).alias("mask"))
+        .select("code", *[bits(w).alias(name) for w, name in enumerate(words)])
     )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = batch.column(0).to_numpy().astype(np.uint32)
             for i in range(spec.hashes):
-                yield pa.RecordBatch.from_arrays([pa.array(_slots(codes, spec, i)), batch.column(1)], names=["slot", "mask"])
+                yield pa.RecordBatch.from_arrays([pa.array(_slots(codes, spec, i)), *batch.columns[1:]], names=["slot", *words])
 
     # At most one row per slot.
-    found = masks.mapInArrow(place, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
-    filters = np.zeros(spec.slots, dtype=np.int64)
-    filters[found["slot"].to_numpy()] = found["mask"].to_numpy()
-    common = languages.index(max(languages, key=lambda k: totals[k]))
-    return LanguageFilters(spec.slots, spec.hashes, spec.share, spec.least, spec.train_rows, languages[common:] + languages[:common], totals[languages[common]] / sum(totals.values()), _rolled(filters, common, len(languages)))
-
-
-def _rolled(filters: np.ndarray, by: int, n: int) -> np.ndarray:
-    """The filters with the commonest language's bit first, for it wins ties."""
-    filters = filters.view(np.uint64)
-    return ((filters >> np.uint64(by)) | (filters << np.uint64(n - by))) & np.uint64((1 << n) - 1) if by else filters
+    schema = "slot long, " + ", ".join(f"{w} long" for w in words)
+    found = masks.mapInArrow(place, schema).groupBy("slot").agg(*[F.bit_or(w).alias(w) for w in words]).toArrow()
+    filters = np.zeros((len(words), spec.slots), dtype=np.uint64)
+    for w, name in enumerate(words):
+        filters[w, found["slot"].to_numpy()] = found[name].to_numpy().view(np.uint64)
+    share = totals[languages[0]] / sum(totals.values())
+    return LanguageFilters(spec.slots, spec.hashes, spec.share, spec.least, spec.train_rows, languages, share, filters)
 
 
 def detect(documents: DataFrame, filters: LanguageFilters, text: str = "text") -> DataFrame:
@@ -137,7 +143,7 @@ def detect(documents: DataFrame, filters: LanguageFilters, text: str = "text") -
     masks = filters.masks
     n = len(filters.languages)
     shared = spark.sparkContext.broadcast(masks)
-    fill = [((masks >> np.uint64(i)) & np.uint64(1)).mean() for i in range(n)] if n else []
+    fill = [_bit(masks, i).mean() for i in range(n)]
     false_rate = np.minimum(np.array(fill) ** filters.hashes, 0.99)
     names = np.array([*filters.languages, UNKNOWN], dtype=object)
     common = filters.common
@@ -157,15 +163,19 @@ def detect(documents: DataFrame, filters: LanguageFilters, text: str = "text") -
     return out.withColumns({"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}).drop("_language")
 
 
+def _bit(masks: np.ndarray, language: int) -> np.ndarray:
+    """One language's bits out of the numbers of all slots asked for."""
+    return masks[language // 64] >> np.uint64(language % 64) & np.uint64(1)
+
+
 def _decide(column: pa.Array, spec: LanguageFilters, masks: np.ndarray, false_rate: np.ndarray, common: float) -> tuple[np.ndarray, np.ndarray]:
     codes, bounds = _grams(column)
-    found = masks[_slots(codes, spec, 0)]
-    for i in range(1, spec.hashes):
-        found = found & masks[_slots(codes, spec, i)]
+    slots = [_slots(codes, spec, i) for i in range(spec.hashes)]
+    found = [np.bitwise_and.reduce([word[s] for s in slots]) for word in masks]
     n = np.diff(bounds)
     shares = np.zeros((len(spec.languages), len(n)))
     for i in range(len(spec.languages)):
-        hits = np.concatenate(([0], np.cumsum((found >> np.uint64(i) & np.uint64(1)).astype(np.int32), dtype=np.int64)))
+        hits = np.concatenate(([0], np.cumsum(_bit(found, i).astype(np.int32), dtype=np.int64)))
         hits = hits[bounds[1:]] - hits[bounds[:-1]]
         shares[i] = np.clip((hits / np.maximum(n, 1) - false_rate[i]) / (1 - false_rate[i]), 0, 1)
     pred = shares.argmax(axis=0)

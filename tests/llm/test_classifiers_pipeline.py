@@ -41,6 +41,49 @@ def test_language_edges(spark, odd):
     assert language.detect(odd.where("false"), filters).count() == 0
 
 
+def plain_language(training, texts, spec):
+    """Predictions without Bloom filters: sets of n-grams per language, by the same rule; ties go to the commonest language."""
+
+    def grams(text):
+        own = "".join(c.lower() if c.isascii() and c.isalpha() else c if not c.isascii() else " " for c in text).encode()
+        own = b" ".join(own.split())
+        padded = b" " + own + b" "
+        return [padded[i : i + 4] for i in range(len(padded) - 3)]
+
+    counts = {}
+    for text, lang in training:
+        for g in grams(text):
+            counts.setdefault(lang, {})[g] = counts.get(lang, {}).get(g, 0) + 1
+    totals = {k: sum(c.values()) for k, c in counts.items()}
+    top = {}
+    for k, c in counts.items():
+        for g, n in c.items():
+            if n >= spec.least:
+                top[g] = max(top.get(g, 0), n / totals[k])
+    held = {k: {g for g, n in c.items() if n >= spec.least and n / totals[k] >= spec.share * top[g]} for k, c in counts.items()}
+    shares = [{k: sum(g in own for g in grams(t)) / max(len(grams(t)), 1) for k, own in held.items()} for t in texts]
+    return shares
+
+
+def test_more_than_64_languages(spark):
+    """Each of 150 made-up languages has its own letters; filters of three numbers a slot keep them apart, as plain sets do."""
+    names = [f"l{i:03d}" for i in range(150)]
+
+    def words(i, salt):
+        return " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + (i * 7) % 26)}{'xyzw'[(salt + k) % 4]}{chr(97 + i % 26)}" for k in range(12))
+
+    training = [(words(i, s), k) for i, k in enumerate(names) for s in range(3)]
+    rows = [(n, t, k) for n, (t, k) in enumerate(training)]
+    filters = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(filters.languages) == 150 and filters.masks.shape[0] == 3
+    asked = spark.createDataFrame([(i, words(i, 5)) for i in range(150)], "doc_id long, text string")
+    found = {r.doc_id: r.lang_pred for r in language.detect(asked, filters).collect()}
+    shares = plain_language(training, [words(i, 5) for i in range(150)], filters)
+    for i, own in enumerate(shares):
+        best = max(own.values())
+        assert own[found[i]] >= best - 0.02 and found[i] == names[i]
+
+
 @pytest.mark.parametrize("name, label, least", [("op8_quality", "quality", 0.97), ("op10_toxicity", "toxic", 0.9)])
 def test_scores_of_held_out_documents(spark, name, label, least):
     truth = {r.doc_id: r[label] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
