@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from tablewright import scratch
 from tablewright.catalog import inputs as src
-from tablewright.operators import clean, curves, dictionary, drift, encode, impute, linear, metrics, profile, quality, sampling, trees, tuning
+from tablewright.operators import clean, curves, dictionary, drift, encode, impute, metrics, profile, quality, sampling, trees, tuning
 from tablewright.operators.baseline import StoredBaseline
 from tablewright.operators.features import with_group_size, with_title
 from tablewright.operators.prefix import prefix_counts as running_counts

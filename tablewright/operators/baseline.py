@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tablewright import scratch
 from tablewright.operators import drift
-from tablewright.operators.prefix import BROADCAST_BUCKETS, ROWS_PER_BUCKET, part_offsets, range_parts, running_counts
+from tablewright.operators.prefix import BROADCAST_BUCKETS, ROWS_PER_BUCKET, range_parts, running_counts
 
 # Distinct values in one bucket of a stored baseline.
 BASELINE_BUCKET = 65_536
@@ -48,11 +48,17 @@ class StoredBaseline:
         counted = scratch.write_table(counted, "baseline-counts")
         buckets = max(1, -(-counted.count() // rows_per_bucket))
         numbers = scratch.write_table(range_parts(counted, ["base"], buckets), "baseline-numbers")
-        last = numbers.groupBy("feature", "bucket").agg(F.max("value").alias("last"), F.sum("base").alias("base"))
-        bounds = last.join(part_offsets(numbers, ["base"]), ["feature", "bucket"])
-        place = F.row_number().over(Window.partitionBy("feature").orderBy("bucket")) - 1
+        in_order, of_feature = Window.partitionBy("feature").orderBy("bucket"), Window.partitionBy("feature")
+        below = F.sum("base").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+        bounds = numbers.groupBy("feature", "bucket").agg(F.max("value").alias("last"), F.sum("base").alias("base")).withColumns(
+            {
+                "base_below": F.coalesce(below, F.lit(0)),
+                "base_total": F.sum("base").over(of_feature),
+                "place": (F.row_number().over(in_order) - 1).cast("long"),
+            }
+        )
         categories = drift.base_categories(baseline, categorical).groupBy("feature", "category")
-        bounds = scratch.write_table(bounds.withColumn("place", place.cast("long")), "baseline-bounds")
+        bounds = scratch.write_table(bounds, "baseline-bounds")
         return StoredBaseline(
             numbers,
             bounds,
@@ -122,11 +128,14 @@ class StoredBaseline:
             F.max("most").alias("most"), F.max("known").alias("known"), F.sum(is_new.cast("long")).alias("n_values"),
             F.max("new_total").alias("n_new"), F.max("base_total").alias("n_base"),
         )
-        by_bucket = scratch.write_table(by_bucket, "batch-buckets")
         measured = by_bucket.groupBy("feature").agg(F.max("known").alias("known"), F.max("n_new").alias("n_new"), F.max("n_base").alias("n_base"))
         chosen = by_bucket.join(F.broadcast(measured.select("feature", F.col("known").alias("least"))), "feature")
         chosen = chosen.where(F.col("most") > F.coalesce("least", F.lit(-1.0))).join(bounds.select("feature", "place", "bucket", "base_below"), ["feature", "place"])
-        chosen = scratch.write_table(chosen.select("feature", "place", "bucket", "base_below", "n_values"), "chosen-buckets")
+        chosen = chosen.select("feature", "place", "bucket", "base_below", "n_values")
+        if self.n_bounds <= BROADCAST_BUCKETS:
+            chosen = new.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
+        else:
+            chosen = scratch.write_table(chosen, "chosen-buckets")
         exact = self._exact(rows.where(is_new).drop("bucket", "inside"), chosen, sent_values)
         inside = exact.groupBy("feature").agg(F.max(F.when(both, F.greatest(gap(at, F.col("le")), gap(below, F.col("lt"))))).alias("inside"))
         result = measured.join(inside, "feature", "left").select("feature", F.greatest("known", "inside").alias("statistic"), "n_new", "n_base")
@@ -145,7 +154,7 @@ class StoredBaseline:
         baseline = baseline.where(F.col("bucket").isin(total[1]) if len(total[1]) <= 1000 else F.lit(True))
         if (total[0] or 0) <= sent_values:
             # The size was counted: at most ``sent_values`` values go to the tasks, the baseline's rows don't move.
-            values = wanted.select("feature", "value", "bucket").orderBy("feature", "value").toArrow()
+            values = wanted.select("feature", "value", "bucket").toArrow()
             lookup = _sorted_values(values)
             found = baseline.select("feature", "bucket", "value", "base_upto").mapInArrow(lambda b: _shares(b, lookup), "feature string, value double, le long, lt long")
         else:
@@ -167,7 +176,7 @@ def _sorted_values(table: pa.Table) -> dict[tuple[str, int], np.ndarray]:
     out: dict[tuple[str, int], list[float]] = {}
     for feature, value, bucket in zip(*(table[c].to_pylist() for c in ("feature", "value", "bucket"))):
         out.setdefault((feature, bucket), []).append(value)
-    return {k: np.array(v) for k, v in out.items()}
+    return {k: np.sort(np.array(v)) for k, v in out.items()}
 
 
 def _shares(batches: Iterator[pa.RecordBatch], lookup: dict[tuple[str, int], np.ndarray]) -> Iterator[pa.RecordBatch]:
