@@ -200,3 +200,55 @@ def brute_words(text):
     import re
 
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.lower(text))
+
+
+def plain_passages(texts, vocabulary, block):
+    """TF-IDF vectors of length one of all blocks of all texts, over the vocabulary; other words only add to the length."""
+    import numpy as np
+
+    tokens = [brute_words(t or "") for t in texts]
+    n = len(texts)
+    idf = np.array([np.log((1 + n) / (1 + sum(w in t for t in tokens))) + 0.1 for w in vocabulary])
+    other, place, rows = np.log(1 + n) + 0.1, {w: i for i, w in enumerate(vocabulary)}, []
+    for own in tokens:
+        for at in range(0, len(own), block):
+            row, square = np.zeros(len(vocabulary)), 0.0
+            for w in own[at : at + block]:
+                square += idf[place[w]] ** 2 if w in place else other**2
+                if w in place:
+                    row[place[w]] += idf[place[w]]
+            rows.append(row / np.sqrt(square))
+    return idf, np.array(rows)
+
+
+def test_latent_space_like_a_plain_decomposition(spark):
+    """The projection equals that of numpy's SVD over all passages, at full rank and, nearly, at a small one."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tablewright.llm import decontaminate as d
+    from tablewright.llm import text as tx
+
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(30)] + [f"other{i}" for i in range(20)]
+    texts = [" ".join(rng.choice(words, size=n)) for n in rng.integers(1, 120, 60)] + ["", "other1", "w3", "w3 w3 w3"]
+    items = [" ".join(words[i : i + 10]) for i in (0, 10, 20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    known = d._items(benchmark, Decontamination(), "item_id", "text")
+    # The vocabulary is in order of its hashes.
+    raw, offsets = tx.buffer(pa.array(words[:30]))
+    order = np.argsort(tx.word_hashes(raw, *tx.words(raw, offsets, tx.ALNUM)[:2]))
+    idf, passages = plain_passages(texts, [words[i] for i in order], 16)
+    rows = d.numbered(docs, known)
+    for rank, tolerance in ((30, 1e-6), (12, 0.35)):
+        found, space = d.latent_space(rows, known, Decontamination(rank=rank))
+        assert np.allclose(found, idf)
+        _, values, axes = np.linalg.svd(passages, full_matrices=False)
+        plain = axes[:rank].T
+        assert space.shape[1] == rank and np.allclose(space.T @ space, np.eye(rank), atol=1e-6)
+        # What the passages keep of their length.
+        kept, most = np.linalg.norm(passages @ space) ** 2, (values[:rank] ** 2).sum()
+        assert most * (1 - tolerance) <= kept <= most * (1 + 1e-9)
+        if rank == 30:
+            assert np.allclose(space @ space.T, plain @ plain.T, atol=1e-6)
