@@ -115,7 +115,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_vector_codes": op13_vector_codes,
 }
 
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096, size: int = 8) -> str:
+    """The rounds of the vector codes one after the other, every part against every entry."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        pick_{r} AS MATERIALIZED (
+            SELECT vec_id, p, any_value(v) AS v, min(CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * {entries} + e) AS k
+            FROM part JOIN book_{r} USING (p) GROUP BY vec_id, p
+        )""")
+        if r < rounds:
+            steps.append(f"""
+        mean_{r} AS (SELECT p, e, list(m ORDER BY i) AS m FROM (
+            SELECT p, k % {entries} AS e, i, CAST(floor(CAST(sum(v[i]) AS DOUBLE) / count(*)) AS BIGINT) AS m FROM pick_{r}, range(1, {size + 1}) AS t(i) GROUP BY p, k % {entries}, i
+        ) GROUP BY p, e),
+        book_{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(m, c) AS c FROM book_{r} LEFT JOIN mean_{r} USING (p, e))""")
+    cut = f"x[p * {size} + 1 : p * {size} + {size}]"
+    return f"""
+        WITH kept AS MATERIALIZED (
+            SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor({scale} * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda c: c IS NOT NULL AND isfinite(c)))
+        ),
+        part AS MATERIALIZED (SELECT vec_id, p, {cut} AS v FROM kept, range({parts}) AS t(p)),
+        first AS (SELECT x, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept),
+        book_0 AS MATERIALIZED (SELECT p, e, {cut} AS c FROM first, range({parts}) AS t(p) WHERE e < {entries}),{",".join(steps)},
+        coded AS (
+            SELECT vec_id, string_agg(format('{{:02x}}', k % {entries}), '' ORDER BY p) AS code, CAST(sum((k - k % {entries}) // {entries}) AS BIGINT) AS error
+            FROM pick_{rounds} GROUP BY vec_id
+        ),
+        digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book_{rounds})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM coded JOIN kept USING (vec_id), digest
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op13_vector_codes": _codes_sql(),
     "op4_lines": """
         WITH whole AS (SELECT doc_id, text, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents),
         line AS (SELECT doc_id, text, unnest(lines) AS l, generate_subscripts(lines, 1) AS i FROM whole),
