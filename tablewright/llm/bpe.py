@@ -17,9 +17,9 @@ from tablewright.llm import text as tx
 from tablewright.llm import tokenizer
 
 #: A worker remembers the ids of so many words; then it starts anew and takes over what is used again.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Pre-tokens are merged in lots of about so many symbols.
-LOT_SYMBOLS = 1 << 18
+LOT_SYMBOLS = 1 << 17
 
 
 def byte_characters() -> list[str]:
@@ -59,8 +59,6 @@ class Merges:
         made = np.full(self.size, -1, dtype=np.int64)
         np.maximum.at(made, product, np.arange(len(product)))
         self.ordered = bool((np.maximum(made[left], made[right]) < np.arange(len(left))).all())
-        strings = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
-        self.strings = [strings.get(i, "").encode() for i in range(self.size)]
 
     def encode(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pre-tokens in one flat array, and each pre-token's bounds in it."""
@@ -157,9 +155,16 @@ class Encoder:
         for key, own in parts.items():
             self.words[key] = known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own))
 
-    def decode(self, ids: bytes) -> bytes:
-        """UTF-8 text of packed ids: their strings with a space between, as a file without a decoder says."""
-        return b" ".join(map(self.merges.strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+@functools.lru_cache(maxsize=2)
+def strings_of(path: str) -> list[bytes]:
+    """The text of each id, special tokens included. All that decoding needs, so its workers hold nothing else."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    if spec.get("decoder"):
+        raise ValueError(f"{path} doesn't decode as this operator does")
+    known = {i: s for s, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return [known.get(i, "").encode() for i in range(max(known) + 1)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -182,7 +187,7 @@ def encode(documents: DataFrame, path: str | None = None, id_column: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(path)
-        for part in tx.slices(batches, "text"):
+        for part in tx.slices(batches, "text", 2 << 20):
             ids = encoder(part.column(1).to_pylist())
             columns = [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids"])
@@ -196,17 +201,18 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = load(path)
+        text_of = strings_of(path).__getitem__
         for batch in batches:
             for part in _slices(batch):
-                texts = [encoder.decode(i) if i is not None else None for i in part.column("ids").to_pylist()]
+                # A file without a decoder has the ids' texts with a space between.
+                texts = [b" ".join(map(text_of, np.frombuffer(i, "<u4").tolist())) if i is not None else None for i in part.column("ids").to_pylist()]
                 decoded = pa.array(texts, pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*part.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
 
 
-def _slices(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of at most ``limit`` bytes of ids, or of one row."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
     ends, start = np.cumsum(sizes), 0
