@@ -51,6 +51,16 @@ wide AS (
 )"""
 
 
+ACCOUNTED = """
+WITH o AS (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_totalprice END AS price FROM orders)
+SELECT o_orderkey,
+       CASE WHEN price NOT BETWEEN 2000 AND 400000 THEN 'rejected' WHEN price IS NULL THEN 'skipped' ELSE 'scored' END AS outcome,
+       CASE WHEN price NOT BETWEEN 2000 AND 400000 THEN 'price_range' ELSE '' END AS violations,
+       CASE WHEN price BETWEEN 2000 AND 400000 THEN CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS INTEGER) END AS prediction
+FROM o
+"""
+
+
 def _feature_table(scope: str, label: str = "t.label, ", rows: str = "") -> str:
     return f"""
 WITH {RAW_EVENTS},
@@ -619,14 +629,8 @@ SELECT event_id, concat_ws(',', CASE WHEN TRY_CAST(event_type AS INTEGER) IS NUL
                            CASE WHEN TRY_CAST(event_id * 1000003 AS INTEGER) IS NULL THEN 'amount' END) AS misfits
 FROM events WHERE TRY_CAST(event_type AS INTEGER) IS NULL AND event_type IS NOT NULL OR TRY_CAST(event_id * 1000003 AS INTEGER) IS NULL
 """,
-    "score_accounted": """
-WITH o AS (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_totalprice END AS price FROM orders)
-SELECT o_orderkey,
-       CASE WHEN price NOT BETWEEN 2000 AND 400000 THEN 'rejected' WHEN price IS NULL THEN 'skipped' ELSE 'scored' END AS outcome,
-       CASE WHEN price NOT BETWEEN 2000 AND 400000 THEN 'price_range' ELSE '' END AS violations,
-       CASE WHEN price BETWEEN 2000 AND 400000 THEN CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS INTEGER) END AS prediction
-FROM o
-""",
+    "score_accounted": ACCOUNTED,
+    "stream_score_accounted": ACCOUNTED,
     "best_model_given": f"SELECT family, params, f1 FROM {GIVEN_SCORES} ORDER BY f1 DESC, family_rank, point LIMIT 1",
     "best_params_given": f"""
 SELECT 'maxDepth' AS param, CAST(point AS DOUBLE) AS value FROM {GIVEN_SCORES} ORDER BY f1 DESC, family_rank, point LIMIT 1

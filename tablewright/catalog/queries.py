@@ -734,6 +734,21 @@ def stream_score_rule(spark, folder):
     return tables.read_parquet(spark, scored).select("o_orderkey", "prediction", "prediction_label")
 
 
+@query
+def stream_score_accounted(spark, folder):
+    """Every arriving order by key: scored, rejected by a rule, or skipped for want of a number."""
+    orders = src.rule_training(spark, folder)
+    arriving, scored, progress = (scratch.new_path(spark, n) for n in ("arriving", "scored", "progress"))
+    tables.write_parquet(orders, arriving)
+    model, rules = _rule_model(spark, folder), [quality.Rule.between("price", 2000, 400000)]
+    run = scoring_stream.stream_score(
+        spark, arriving, orders.schema, lambda df: score_all(model, df, src.RULE_FEATURES, rules), scored, progress
+    )
+    run.awaitTermination()
+    found = tables.read_parquet(spark, scored)
+    return found.select("o_orderkey", "outcome", F.array_join("violations", ",").alias("violations"), "prediction")
+
+
 @query
 def stream_features(spark, folder):
     """Unlabelled raw rows arrive as files and get the features and fills of the batch table."""
