@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import array
 import gc
+import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +20,9 @@ from tablewright.llm import tokenizer
 from tablewright.scratch import write_table
 
 #: White-space separated words, and pre-tokens, whose ids a Python worker remembers; at most twice as many of each.
-REMEMBERED_WORDS, REMEMBERED_PRETOKENS = 250_000, 400_000
+REMEMBERED_WORDS, REMEMBERED_PRETOKENS = 400_000, 400_000
+#: Words whose ids are copied at a time; so few that the places stay in the cache of a core.
+GATHERED_WORDS = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -27,6 +31,7 @@ class Packing:
 
     A document's ids are hashed into ``buckets`` counts, which a random matrix projects to ``dimensions`` numbers of
     ``bits`` bits, at most 62 together. ``task_tokens`` is about how many ids one task packs.
+    The table of all ids is stored with ``codec`` (null: that of the session).
     """
 
     length: int = 4096
@@ -35,6 +40,7 @@ class Packing:
     dimensions: int = 3
     bits: int = 16
     task_tokens: int = 4_000_000
+    codec: str | None = None
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -66,42 +72,82 @@ def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
+class _Words:
+    """Words numbered as they come, with all their ids in one array: those of word i are ``ids[starts[i]:starts[i + 1]]``."""
+
+    def __init__(self, kind: str):
+        self.numbers: dict[str, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.ids, self.starts = np.zeros(0, kind), np.zeros(1, np.int64)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of the next words."""
+        self.ids = np.concatenate([self.ids, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+
+def _ids_of(ids: np.ndarray, starts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of numbered words, one after the other, and how many each word has."""
+    sizes = np.diff(starts)[words]
+    out = [ids[:0]]
+    for i in range(0, len(words), GATHERED_WORDS):
+        n = sizes[i : i + GATHERED_WORDS]
+        out.append(ids[np.repeat(starts[words[i : i + GATHERED_WORDS]] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+    return np.concatenate(out), sizes
+
+
 class _Ids:
     """Ids of texts. The ids of words and of the pre-tokens in them are kept for the next texts."""
 
     def __init__(self, path: str):
         self.tok = tokenizer.load(path)
         self.narrow = self.tok.whole.get_vocab_size() <= 1 << 16
-        self.words, self.old_words, self.pretokens, self.old_pretokens = {}, {}, {}, {}
+        self.kind = "<u2" if self.narrow else "<u4"
+        self.words, self.old_words = _Words(self.kind), _Words(self.kind)
+        self.pretokens, self.old_pretokens = {}, {}
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with ``end_id`` behind it, and how many every text has."""
         gc.disable()  # nothing here makes cycles, and each pass would walk all that is remembered
         try:
-            return self._of(texts)
+            return self._of(texts, end_id)
         finally:
             gc.enable()
 
-    def _of(self, texts: list[str]) -> list[bytes]:
-        words = [text.lower().split() if self.tok.plain(text) else None for text in texts]
-        self._learn(set().union(*(w for w in words if w)).difference(self.words))
-        get = self.words.__getitem__
-        out = [b"".join(map(get, w)) if w is not None else self._whole(text) for w, text in zip(words, texts)]
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words, self.old_words = {}, self.words
+    def _of(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        rows, number = [], self.words.numbers.__getitem__
+        for text in texts:
+            words = text.lower().split() if self.tok.plain(text) else None
+            rows.append(words if words is None else np.fromiter(map(number, words), np.int32, len(words)))
+        self._learn()
+        known = self.words
+        # The end id, and texts that are not plain, stand behind the words.
+        extra = [np.array([end_id], self.kind)]
+        end = np.array([len(known.numbers)], np.int32)
+        for i, row in enumerate(rows):
+            if row is None:
+                rows[i] = end + len(extra)
+                extra.append(np.frombuffer(self._whole(texts[i]), self.kind))
+        starts = np.concatenate([known.starts, known.starts[-1] + np.cumsum([len(x) for x in extra])])
+        out, sizes = _ids_of(np.concatenate([known.ids, *extra]), starts, np.concatenate([x for row in rows for x in (row, end)]))
+        first = np.cumsum([0] + [len(row) + 1 for row in rows[:-1]])
+        counts = np.add.reduceat(sizes, first)
+        if len(known.numbers) > REMEMBERED_WORDS:
+            self.words, self.old_words = _Words(self.kind), known
         if len(self.pretokens) > REMEMBERED_PRETOKENS:
             self.pretokens, self.old_pretokens = {}, self.pretokens
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        parts = {}
-        for word in words:
-            own = self.old_words.get(word)
-            if own is None:
-                parts[word] = self.tok.pieces(word)
-            else:
-                self.words[word] = own
+        return out, counts
+
+    def _learn(self) -> None:
+        """The ids of words that have a number and no ids yet."""
+        known, old = self.words, self.old_words
+        words = list(itertools.islice(known.numbers, len(known.starts) - 1, None))
+        held = np.fromiter(map(old.numbers.get, words, itertools.repeat(-1)), np.int64, len(words))
+        fresh = np.flatnonzero(held < 0)
+        # A plain word of letters is one pre-token.
+        parts = [(w,) if w.isalpha() else self.tok.pieces(w) for w in map(words.__getitem__, fresh.tolist())]
         missing = []
-        for pretoken in set().union(*parts.values()).difference(self.pretokens):
+        for pretoken in set(itertools.chain.from_iterable(parts)).difference(self.pretokens):
             own = self.old_pretokens.get(pretoken)
             if own is None:
                 missing.append(pretoken)
@@ -112,8 +158,11 @@ class _Ids:
             for pretoken, found in zip(part, self.tok.model.encode_batch_fast(part, add_special_tokens=False)):
                 self.pretokens[pretoken] = self._packed(found.ids)
         get = self.pretokens.__getitem__
-        for word, own in parts.items():
-            self.words[word] = get(own[0]) if len(own) == 1 else b"".join(map(get, own))
+        new = [get(own[0]) if len(own) == 1 else b"".join(map(get, own)) for own in parts]
+        sizes = np.fromiter(map(len, new), np.int64, len(new)) // np.dtype(self.kind).itemsize
+        held[fresh] = len(old.starts) - 1 + np.arange(len(fresh))
+        starts = np.concatenate([old.starts, old.starts[-1] + np.cumsum(sizes)])
+        known.add(*_ids_of(np.concatenate([old.ids, np.frombuffer(b"".join(new), self.kind)]), starts, held))
 
     def _packed(self, ids: list[int]) -> bytes:
         return array.array("H" if self.narrow else "I", ids).tobytes()
@@ -131,18 +180,16 @@ def placed(documents: DataFrame, spec: Packing, path: str, id_column: str, text:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = _IDS.setdefault(path, _Ids(path))
-        kind = "<u2" if ids_of.narrow else "<u4"
         vocabulary = ids_of.tok.whole.get_vocab_size()
         bucket = (tx.mix(np.arange(vocabulary), 51) % np.uint64(spec.buckets)).astype(np.int64)
         project = np.random.default_rng(52).standard_normal((spec.buckets, spec.dimensions)).astype(np.float32)[bucket]
-        end = np.array([spec.end_id], kind).tobytes()
-        for batch in tx.slices(batches, "text"):
-            packed = [x + end for x in ids_of([t or "" for t in batch.column(1).to_pylist()])]
-            values = np.frombuffer(b"".join(packed), kind)
-            n = np.array([len(x) for x in packed], np.int64) // np.dtype(kind).itemsize
+        for batch in tx.slices(batches, "text", 2 << 20):
+            values, n = ids_of([t or "" for t in batch.column(1).to_pylist()], spec.end_id)
+            edges = pa.array(np.concatenate(([0], np.cumsum(n))) * values.itemsize, pa.int32())
+            packed = pa.Array.from_buffers(pa.binary(), len(n), [None, edges.buffers()[1], pa.py_buffer(values.tobytes())])
             mean = np.add.reduceat(project[values], np.concatenate(([0], np.cumsum(n)[:-1])), axis=0) / n[:, None]
             cells = ((np.tanh(3 * mean) + 1) / 2 * (2**spec.bits - 1)).astype(np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hilbert_keys(cells, spec.bits)), pa.array(n), pa.array(packed, pa.binary())], schema=fields)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hilbert_keys(cells, spec.bits)), pa.array(n), packed], schema=fields)
 
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return source.mapInArrow(of, "doc_id long, place long, n_tokens long, ids binary")
@@ -158,7 +205,7 @@ def pack(documents: DataFrame, spec: Packing = Packing(), path: str | None = Non
     the piece's ids as little-endian 32-bit numbers.
     """
     path = path or tokenizer.default_path()
-    stored = write_table(placed(documents, spec, path, id_column, text), "placed")
+    stored = write_table(placed(documents, spec, path, id_column, text), "placed", spec.codec)
     total = stored.agg(F.sum("n_tokens")).first()[0] or 0
     parts = max(1, -(-total // spec.task_tokens))
     # The seed of the order among equal places is the document itself, so a retried task deals alike.

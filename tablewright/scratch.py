@@ -29,11 +29,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tablewright/{name}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Compute ``df`` once, into a Parquet table, and return that table.
 
-    Unlike a cached frame it survives the loss of executors, and Catalyst knows its true size.
+    Unlike a cached frame it survives the loss of executors, and Catalyst knows its true size. ``codec`` names
+    a compression other than the session's: "zstd" takes a quarter less disk than "snappy" for texts, and some more time.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ import oracle
 import pytest
 
 import tablewright.llm.queries as q
-from tablewright.llm import tokenizer
+from tablewright.llm import packing, tokenizer
 from tablewright.llm.lines import without_repeated_lines
 from tablewright.llm.packing import Packing, hilbert_keys, pack
 from tablewright.llm.tokens import token_counts
@@ -75,6 +75,18 @@ def test_packing_keeps_every_id(spark, docs, whole):
     assert pack(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("remembered", [0, 3, 10**6])
+def test_ids_of_texts_whatever_is_remembered(whole, monkeypatch, remembered):
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", remembered)
+    monkeypatch.setattr(packing, "REMEMBERED_PRETOKENS", remembered)
+    monkeypatch.setattr(packing, "GATHERED_WORDS", 5)
+    ids_of = packing._Ids(tokenizer.default_path())
+    for texts in ([t or "" for t in TEXTS], ["don't"], [""], [t or "" for t in TEXTS[::-1]], ["new words, don't", "a<|endoftext|>b"]):
+        values, n = ids_of(texts, 2)
+        expected = [whole.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert [x.tolist() for x in np.split(values, np.cumsum(n)[:-1])] == expected
+
+
 def test_packing_query_on_the_smallest_tables(spark, whole):
     texts = {r.doc_id: [r.text] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     check_pieces(q.QUERIES["op6_packing"](spark, FOLDER).collect(), texts, whole)
