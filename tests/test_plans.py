@@ -1,3 +1,5 @@
+import glob
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -236,3 +238,14 @@ def test_failed_run_is_logged(spark, tmp_path):
         run.params({"a": 1})
         raise RuntimeError
     assert {r["key"]: r["text"] for r in read_runs(spark, path).collect()} == {"a": "1", "status": "failed", "run_name": "x"}
+
+
+def test_stored_texts_take_less_disk_than_by_default(spark, tmp_path):
+    texts = spark.range(4000).select(F.concat_ws(" ", *[F.substring(F.sha2(F.concat("id", F.lit(i)), 256), 1, 3) for i in range(60)]).alias("text"))
+    own, default = scratch.new_path(spark, "x").rsplit("/", 1)[0].removeprefix("file:"), str(tmp_path / "default")
+    before = set(glob.glob(f"{own}/texts-*"))
+    assert scratch.write_table(texts.coalesce(1), "texts", "zstd").exceptAll(texts).isEmpty()
+    texts.coalesce(1).write.parquet(default)
+    (new,) = set(glob.glob(f"{own}/texts-*")) - before
+    sizes = [sum(os.path.getsize(f) for f in glob.glob(f"{path}/*.parquet")) for path in (new, default)]
+    assert sizes[0] < 0.85 * sizes[1]
