@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tablewright import scratch
 
@@ -18,7 +21,8 @@ def tree_nodes(spark: SparkSession, model: Model) -> DataFrame:
 
     ``tree`` counts from 0 in order of fitting and has a ``weight``; node 0 is its root. An inner node has children
     ``left`` and ``right`` and sends rows left whose slot ``feature`` is at most ``threshold`` or among ``categories``;
-    ``gain`` is its gain in purity, and ``rows`` the weighted number of training rows that reached it.
+    ``gain`` is its gain in purity, and ``rows`` the weighted number of training rows that reached it; ``statistics`` has
+    a classifier's rows per class.
     """
     path = scratch.new_path(spark, "trees")
     model.write().save(path)
@@ -46,6 +50,7 @@ def tree_nodes(spark: SparkSession, model: Model) -> DataFrame:
         F.when(inner & ~by_threshold, values).alias("categories"),
         F.when(inner, F.col("gain")).alias("gain"),
         rows.alias("rows"),
+        statistics.alias("statistics"),
         "prediction",
     )
 
@@ -82,6 +87,25 @@ def first_rounds_prediction(nodes: Sequence[Row], features: str, rounds: int) ->
     return (F.expr(" + ".join(terms)) > 0).cast("double")
 
 
+def forest_predictions(df: DataFrame, features: str, nodes: Sequence[Row], depths: Mapping[str, int]) -> DataFrame:
+    """Add what a forest cut at some depths predicts, one column per depth.
+
+    As Spark's forests do, each tree votes with the shares of the classes in a row's leaf, and the first class with the
+    most votes wins. ``features`` is an array of slots, each a number or one category's 0 or 1.
+    """
+    trees = [tree for _, tree in sorted(_by_node(nodes).items())]
+    cut = {name: [_cut_arrays(tree, depth) for tree in trees] for name, depth in depths.items()}
+    schema = StructType([*df.schema.fields, *[StructField(name, DoubleType()) for name in cut]])
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b for b in batches if b.num_rows):
+            rows = batch.column(features).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            found = [pa.array(sum(_votes(tree, rows) for tree in of).argmax(1).astype(float)) for of in cut.values()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *cut])
+
+    return df.mapInArrow(predict, schema)
+
+
 def slots(vector: str) -> Column:
     """A feature vector as the array that predictions made here read."""
     return vector_to_array(vector)
@@ -107,3 +131,38 @@ def _case(tree: dict[int, Row], node: int, features: str, depth: int | None) ->
     below = None if depth is None else depth - 1
     left, right = (_case(tree, row[side], features, below) for side in ("left", "right"))
     return f"CASE WHEN {test} THEN {left} ELSE {right} END"
+
+
+def _cut_arrays(tree: Mapping[int, Row], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """The upper ``depth`` levels of a tree as arrays over its nodes: slot, threshold, children, shares of classes; and its levels.
+
+    Leaves are their own children. Leaves of one parent that predict the same are merged, as Spark does.
+    """
+    size = max(tree) + 1
+    slot, threshold, children = np.zeros(size, int), np.zeros(size), np.repeat(np.arange(size)[:, None], 2, 1)
+    shares = np.zeros((size, len(tree[0]["statistics"])))
+    level, leaves = {0: 0}, {}
+    for node, row in sorted(tree.items()):  # parents have smaller numbers than their children
+        if row["left"] is not None:
+            level[row["left"]] = level[row["right"]] = level[node] + 1
+    for node, row in sorted(tree.items(), reverse=True):
+        counts = np.array(row["statistics"])
+        shares[node] = counts / (counts.sum() or 1.0)
+        below = (row["left"], row["right"])
+        if row["left"] is None or level[node] >= depth or leaves.get(below[0], -1) == leaves.get(below[1], -2):
+            leaves[node] = row["prediction"]
+            continue
+        # A slot of one category holds 0 or 1.
+        by_threshold = row["threshold"] is not None
+        slot[node], threshold[node] = row["feature"], row["threshold"] if by_threshold else 0.5
+        children[node] = below if by_threshold or row["categories"] == [0.0] else below[::-1]
+    return slot, threshold, children, shares, min(depth, max(level.values()))
+
+
+def _votes(tree: tuple, rows: np.ndarray) -> np.ndarray:
+    """Shares of the classes in the leaf of each row."""
+    slot, threshold, children, shares, levels = tree
+    place, node = np.arange(len(rows)), np.zeros(len(rows), int)
+    for _ in range(levels):
+        node = children[node, (rows[place, slot[node]] > threshold[node]).astype(int)]
+    return shares[node]
