@@ -33,9 +33,26 @@ def tree_nodes(spark: SparkSession, model: Model) -> DataFrame:
         stored = stored.select(F.col("treeID").alias("tree"), "nodeData.*").join(F.broadcast(weights), "tree")
     else:
         stored = stored.withColumns({"tree": F.lit(0), "weight": F.lit(1.0)})
+    return _nodes(stored, isinstance(model, GBTClassificationModel))
+
+
+def store_tree(spark: SparkSession, model: Model, tree: int) -> str:
+    """Store a forest of a single tree as number ``tree`` of a forest, for ``stored_tree_nodes``."""
+    path = scratch.new_path(spark, f"tree-{tree}")
+    model.write().save(path)
+    return path
+
+
+def stored_tree_nodes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The nodes of a forest whose trees were stored one by one, as ``tree_nodes`` gives them; all are read at once."""
+    stored = spark.read.parquet(*[f"{path}/data" for path in paths])
+    number = F.regexp_extract("_metadata.file_path", "/tree-([0-9]+)-[0-9a-f]+/data/[^/]*$", 1).cast("int")
+    return _nodes(stored.select(number.alias("tree"), F.lit(1.0).alias("weight"), "nodeData.*"), False)
+
+
+def _nodes(stored: DataFrame, boosted: bool) -> DataFrame:
     # A classifier's statistics are rows per class; those of boosted (regression) trees begin with the number of rows.
     statistics = F.col("impurityStats")
-    boosted = isinstance(model, GBTClassificationModel)
     rows = statistics[0] if boosted else F.aggregate(statistics, F.lit(0.0), lambda total, n: total + n)
     inner, by_threshold = F.col("leftChild") >= 0, F.col("split.numCategories") == -1
     values = F.col("split.leftCategoriesOrThreshold")

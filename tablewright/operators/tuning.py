@@ -25,7 +25,15 @@ from tablewright import scratch
 from tablewright.operators.cells import MAX_BINS, bin_bounds, binned, complete, with_bootstraps
 from tablewright.operators.encode import FeatureSpec, feature_stages, fit_features
 from tablewright.operators.sampling import SAMPLE_SEED, with_fold
-from tablewright.operators.trees import cut_prediction, first_rounds_prediction, forest_predictions, slots, tree_nodes
+from tablewright.operators.trees import (
+    cut_prediction,
+    first_rounds_prediction,
+    forest_predictions,
+    slots,
+    store_tree,
+    stored_tree_nodes,
+    tree_nodes,
+)
 
 CLASSIFIERS = {
     "GBTClassifier": GBTClassifier,
@@ -188,14 +196,14 @@ def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
             found += [f1(rows.withColumn("prediction", predict(nodes, "slots", chosen[name]))) for *_, chosen in smaller]
         return found
 
-    def grow(points: list[tuple], fold: _Fold, tree: int) -> list[Row]:
-        """The nodes of one tree of the forest of these points."""
+    def grow(points: list[tuple], fold: _Fold, tree: int) -> str:
+        """One tree of the forest of these points, stored."""
         chosen, drawn = points[0][3], _tree_column(points, tree)
         # A tree by itself would look at all features in each node, and as one of several at some.
         subset = "sqrt" if _trees_of(points) > 1 else "all"
         alone = {"numTrees": 1, "bootstrap": False, "featureSubsetStrategy": subset, "seed": zlib.crc32(f"{fold.number} {drawn}".encode())}
         model = fitted(FOREST, fold.cells[0].where(F.col(drawn) > 0), fold.n_cells, drawn, **chosen | alone)
-        return [Row(**row.asDict() | {"tree": tree}) for row in tree_nodes(spark, model).collect()]
+        return store_tree(spark, model, tree)
 
     def forest_scores(points: list[tuple], outside: DataFrame, nodes: list[Row]) -> list[float]:
         rows = outside.select(spec.label, WEIGHT, slots(spec.features.output).alias("slots"))
@@ -219,7 +227,8 @@ def cross_validate(df: DataFrame, spec: TrainingSpec) -> DataFrame:
             rows = []
             for points, fold, result in running:
                 if isinstance(result, list):
-                    scores = forest_scores(points, fold.cells[1], [node for tree in result for node in tree.get()])
+                    nodes = stored_tree_nodes(spark, [tree.get() for tree in result])
+                    scores = forest_scores(points, fold.cells[1], nodes.collect())
                 else:
                     scores = result.get()
                 rows += [(family, rank, point, json.dumps(chosen), fold.number, f) for (rank, family, point, chosen), f in zip(points, scores, strict=True)]

@@ -112,3 +112,13 @@ def test_a_cells_draws_have_the_mean_and_spread_of_its_rows(spark):
     means = found.agg(*[f(c) for c in "ab" for f in (F.avg, F.var_samp)], F.corr("a", "b")).first()
     assert list(means)[:4] == [pytest.approx(25, abs=0.5), pytest.approx(25, abs=2.5)] * 2 and abs(means[4]) < 0.06
     assert found.select("a", "b").collect() == cells.with_bootstraps(df, "n", ["a", "b"], 3).select("a", "b").collect()
+
+
+def test_trees_stored_one_by_one_are_read_by_number(spark, many):
+    df = encode.fit_features(many, SPEC).transform(many).cache()
+    alone = RandomForestClassifier(labelCol="y", numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt", maxDepth=2)
+    models = {n: alone.copy({alone.seed: n}).fit(df) for n in (11, 2)}
+    found = trees.stored_tree_nodes(spark, [trees.store_tree(spark, model, n) for n, model in models.items()])
+    for n, model in models.items():
+        assert sorted(found.where(F.col("tree") == n).drop("tree").collect()) == sorted(trees.tree_nodes(spark, model).drop("tree").collect())
+    assert found.select("tree").distinct().count() == 2
